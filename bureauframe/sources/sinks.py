@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +16,15 @@ _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def exists(spark: SparkSession, target: str) -> bool:
+    """Whether a sink holds data already. An empty directory counts as missing."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    try:
+        return bool(spark.read.parquet(target).columns)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def _prepare(df: DataFrame, partition: str | None) -> DataFrame:
@@ -73,7 +79,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; only a session without one (tests) gets its own."""
-    if spark._jsc.sc().getCheckpointDir().isDefined():
+    if spark.sparkContext.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="bureauframe-"))
