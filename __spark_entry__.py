@@ -28,11 +28,11 @@ EARLIER, LATER = derived.SCRUB_DATES
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to 6 digits, so that summation order does not show; adding 0.0 drops the sign of
-    a negative zero."""
+    """Doubles to 6 digits, so that summation order does not show. The shift by 1e-9 keeps exact
+    ties at the seventh digit from depending on the last bit; adding 0.0 drops a negative zero."""
     return df.select(
         *(
-            (F.round(f.name, 6) + F.lit(0.0)).alias(f.name)
+            (F.round(F.col(f.name) + F.lit(1e-9), 6) + F.lit(0.0)).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name)
             for f in df.schema.fields

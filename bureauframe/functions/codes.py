@@ -56,7 +56,10 @@ def code(column: str) -> str:
 
 
 def lender(column: str = "m_sub_id") -> str:
-    return f"upper({code(column)})"
+    """Upper-case lender type. Known spellings pass as they are: changing case costs more than the
+    rest of the lender logic together."""
+    known = one_of(code(column), NBFC, MFI, ANY_BANK)
+    return f"CASE WHEN {known} THEN {code(column)} ELSE upper({code(column)}) END"
 
 
 def one_of(column: str, *sets: tuple[str, ...]) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,25 +24,39 @@ DATE_FORMATS = (
 )
 
 
-def _widths(fmt: str) -> set[int]:
-    plain = fmt.replace("'", "")
-    if plain.endswith("XXX"):  # an offset is written "Z" or "+hh:mm"
-        return {len(plain) - 2, len(plain) + 3}
-    return {len(plain)}
+def _shapes(fmt: str) -> list[str]:
+    """The format with every digit as 0; an offset is written "Z", "+hh:mm" or "-hh:mm"."""
+    body = fmt.replace("'", "")
+    offsets = [""]
+    if body.endswith("XXX"):
+        body, offsets = body.removesuffix("XXX"), ["Z", "+00:00", "-00:00"]
+    return [re.sub("[yMdHmsS]", "0", body) + offset for offset in offsets]
+
+
+def _read(text: str, fmt: str) -> str:
+    """Parse a text known to have the shape of `fmt`. A plain date is rearranged to ISO order and
+    cast, which costs a fraction of a pattern parse and raises no error inside."""
+    if "H" in fmt:
+        return f'try_to_date({text}, "{fmt}")'
+    parts = (f"substr({text}, {fmt.index(p) + 1}, {len(p)})" for p in ("yyyy", "MM", "dd"))
+    return f"try_cast(concat_ws('-', {', '.join(parts)}) AS DATE)"
 
 
 def date_sql(column: str) -> str:
     """Text (or a date) to a date; NULL when no format fits.
 
-    All formats have fixed width, so the text length picks the few candidates and the rest are
-    never tried. Parsing is strict (two-digit days, four-digit years, no impossible dates).
+    The shape of the text picks its candidates, at most two, so text that is no date is never
+    parsed. Days and months need two digits, years four, and impossible dates are NULL.
     """
     text = f"CAST({column} AS STRING)"
-    branches = []
-    for width in sorted({w for fmt in DATE_FORMATS for w in _widths(fmt)}):
-        tries = [f'try_to_date({text}, "{f}")' for f in DATE_FORMATS if width in _widths(f)]
-        branches.append(f"WHEN {width} THEN coalesce({', '.join(tries)})")
-    return f"CASE length({text}) {' '.join(branches)} END"
+    by_shape: dict[str, list[str]] = {}
+    for fmt in DATE_FORMATS:
+        for shape in _shapes(fmt):
+            by_shape.setdefault(shape, []).append(_read(text, fmt))
+    branches = " ".join(
+        f"WHEN '{shape}' THEN coalesce({', '.join(reads)})" for shape, reads in by_shape.items()
+    )
+    return f"CASE translate({text}, '123456789', '000000000') {branches} END"
 
 
 def parse_date(column: str) -> Column:

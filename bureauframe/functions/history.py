@@ -71,7 +71,7 @@ def window_min(arr: str, md: str, months: int) -> str:
 
 def months_aligned(arr: str, md: str, months: int) -> list[str]:
     """Months 0 .. months - 1 as scalars. Sums and counts over them stay compiled expressions,
-    where `filter` and `aggregate` over an array would be interpreted per element."""
+    where lambda functions over an array would be interpreted per element."""
     return [month(arr, md, k) for k in range(months)]
 
 
@@ -98,29 +98,37 @@ def share_positive(values: Sequence[str], covered: str) -> str:
     return f"CASE WHEN ({covered}) > 0 THEN ({hits}) / ({covered}) END"
 
 
-def months_to_last(arr: str, md: str, hit: str) -> str:
-    """Distance in months from the as-of date back to the newest slot for which `value {hit}`
-    holds, ignoring slots after the as-of date. The scan over slots is interpreted, so it runs
-    only for accounts whose worst slot qualifies; most accounts are clean."""
-    distance = f"CASE WHEN value {hit} AND {md} + slot >= 0 THEN CAST({md} + slot AS DOUBLE) END"
-    scan = f"array_min(transform({arr}, (value, slot) -> {distance}))"
-    return f"CASE WHEN array_max({arr}) {hit} THEN {scan} END"
+def hits(family: str, hit: str) -> str:
+    """Slot numbers whose value satisfies `hit`, NULL elsewhere, in slot order."""
+    names = history_columns(family)
+    marks = (f"CASE WHEN {number(name)} {hit} THEN {slot} END" for slot, name in enumerate(names))
+    return f"array({', '.join(marks)})"
+
+
+def months_to_last(marks: str, md: str) -> str:
+    """Distance in months from the as-of date back to the newest marked slot, ignoring slots after
+    the as-of date."""
+    past = f"slice({marks}, {_first_slot(md)} + 1, {SLOTS})"
+    return f"CAST({md} + array_min({past}) AS DOUBLE)"
 
 
 def ratios(numerator: str, denominator: str) -> str:
-    """Slot-wise ratio of two aligned windows: negatives and unknown numerators count as 0, a
-    denominator that is not positive gives NULL."""
-    ratio = "CASE WHEN d > 0 THEN greatest(n, 0.0D) / d END"
-    return f"zip_with({numerator}, {denominator}, (n, d) -> {ratio})"
+    """Slot-wise ratio of two families: negatives and unknown numerators count as 0, a denominator
+    that is not positive gives NULL."""
+    pairs = zip(history_columns(numerator), history_columns(denominator), strict=True)
+    values = (
+        f"CASE WHEN {number(d)} > 0 THEN greatest({number(n)}, 0.0D) / {number(d)} END"
+        for n, d in pairs
+    )
+    return f"array({', '.join(values)})"
 
 
 def mean_known(arr: str) -> str:
-    """Mean of the known values of an array; NULL when none is known."""
+    """Mean of the known values of an array; NULL when none is known. Interpreted per element, so
+    call it under a condition that few rows meet."""
     known = f"array_compact({arr})"
-    return (
-        f"CASE WHEN size({known}) > 0 "
-        f"THEN aggregate({known}, 0.0D, (acc, v) -> acc + v) / size({known}) END"
-    )
+    summed = f"aggregate({known}, 0.0D, (acc, v) -> acc + v)"
+    return f"CASE WHEN size({known}) > 0 THEN {summed} / size({known}) END"
 
 
 def value_as_of(arr: str, ahead: str) -> str:

@@ -20,14 +20,13 @@ AS_OF = "as_of"
 # The ticket size up to which a short-term personal loan counts as one, and the
 # days past due that mark the three recency features.
 SHORT_TERM_MAX = 30000
-DISTANCES = {"since_dpd30": ">= 30", "since_dpd15": "> 15", "since_dpd0": "> 0"}
+DISTANCES = {"dpd30": ">= 30", "dpd15": "> 15", "dpd0": "> 0"}
 
 _HISTORIES = {
     "dpd": ("days_past_due", True),
     "pay": ("actual_payment_am", True),
     "bal": ("balance_am", False),
     "due": ("past_due_am", False),
-    "lim": ("credit_limit_am", False),
 }
 
 
@@ -41,9 +40,8 @@ def account_rows(
     """
     typed = _step(tradeline, keys, _cleaned(as_of))
     flagged = _step(typed, [c for c in typed.columns if c not in _ONLY_CLEANED], _flags(strict))
-    windows = _windows(strict)
     kept = [c for c in flagged.columns if c not in _ONLY_FLAGGED]
-    return _step(flagged, kept, windows).selectExpr("*", *_items(_from_windows()))
+    return _step(flagged, kept, _windows(strict))
 
 
 def _items(columns: Mapping[str, str]) -> list[str]:
@@ -58,7 +56,8 @@ def _step(df: DataFrame, kept: Sequence[str], columns: Mapping[str, str]) -> Dat
 _ONLY_CLEANED = ("lender", "suit", "settlement", "written_off_on", "defaulted_on")
 _ONLY_FLAGGED = (
     AS_OF, "opened", "closed", "reported", "dpd_reported",
-    "raw_emi", "raw_bal", "raw_due", "md", "md_dpd", "ahead", *_HISTORIES,
+    "raw_emi", "raw_bal", "raw_due", "md", "md_dpd", "ahead",
+    "card_use", *DISTANCES, *_HISTORIES,
 )
 
 
@@ -84,7 +83,11 @@ def _cleaned(as_of: str) -> dict[str, str]:
         "wo_principal": h.positive(h.number("principal_write_off_am_4in")),
         "settled": h.positive(h.number("settled_am_4in")),
     }
-    return typed | {name: h.history(family, drop) for name, (family, drop) in _HISTORIES.items()}
+    arrays = {name: h.history(family, drop) for name, (family, drop) in _HISTORIES.items()}
+    marks = {name: h.hits("days_past_due", hit) for name, hit in DISTANCES.items()}
+    used = h.ratios("balance_am", "credit_limit_am")
+    is_card = codes.one_of(codes.code("acct_type_cd"), codes.CARD)
+    return typed | arrays | marks | {"card_use": f"CASE WHEN {is_card} THEN {used} END"}
 
 
 def _flags(strict: bool) -> dict[str, str]:
@@ -120,8 +123,8 @@ def _windows(strict: bool) -> dict[str, str]:
 def _dpd(strict: bool) -> dict[str, str]:
     out = {f"dpd_max{w}": h.window_max("dpd", "md_dpd", w) for w in (3, 6, 12, 36)}
     out["dpd_max3_15"] = h.window_max("dpd", "md_dpd", 15, first=3)
-    for name, hit in DISTANCES.items():
-        out[name] = h.months_to_last("dpd", "md_dpd", hit)
+    for name in DISTANCES:
+        out[f"since_{name}"] = h.months_to_last(name, "md_dpd")
     # All-history figures take the array as delivered, whatever its report month.
     ever = "slice(dpd, greatest(0 - md_dpd, 0) + 1, 37)" if strict else "dpd"
     out["dpd_ever"] = f"array_max({ever})"
@@ -155,10 +158,13 @@ def _past_due() -> dict[str, str]:
 
 
 def _card_use() -> dict[str, str]:
-    """Utilisation of months 0 .. 35, newest first, for cards only. A report from `md` months ago
-    leaves the newest `md` months out, so a shorter window is a shorter prefix."""
-    used = h.ratios(h.window("bal", "md", 36), h.window("lim", "md", 36))
-    return {"card_used": f"CASE WHEN cc THEN {used} END", "card_gap": "greatest(md, 0)"}
+    """Utilisation, for cards only."""
+    out = {}
+    for w in (3, 6, 12, 36):
+        mean = h.mean_known(h.window("card_use", "md", w))
+        out[f"card_mean{w}"] = f"CASE WHEN cc THEN {mean} END"
+        out[f"card_max{w}"] = h.window_max("card_use", "md", w)
+    return out
 
 
 def _balances() -> dict[str, str]:
@@ -180,15 +186,6 @@ def _balances() -> dict[str, str]:
     return out
 
 
-def _from_windows() -> dict[str, str]:
-    out = {}
-    for w in (3, 6, 12, 36):
-        part = f"slice(card_used, 1, greatest({w} - card_gap, 0))"
-        out[f"card_mean{w}"] = h.mean_known(part)
-        out[f"card_max{w}"] = f"array_max({part})"
-    return out
-
-
 def enquiry_rows(enquiry: DataFrame, keys: Sequence[str], as_of: str) -> DataFrame:
     lender = codes.lender_flags(codes.lender())
     columns = {
