@@ -17,6 +17,7 @@ from bureauframe.plans import retro, scrub
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, GROUPS
 from bureauframe.plans.companions import COMPANIONS
 from bureauframe.plans.rows import account_rows
+from bureauframe.session import tune
 from bureauframe.sources import derived, sinks, tables
 from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, SCRUB_DATE
 from oracle import queries as oracle_queries
@@ -277,7 +278,7 @@ def frame_helpers(spark: SparkSession, sf: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the full account feature row of every customer and delivery."""
-    return wide_tradeline(spark, "/root/testdata/sf0.001")
+    return wide_tradeline(tune(spark), "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
@@ -292,7 +293,11 @@ def queries() -> dict[str, Query]:
     out |= {name: _row_query(list(cols)) for name, cols in oracle_queries.ROW_QUERIES.items()}
     out |= {group.name: _group_query(group.name) for group in ACCOUNT_GROUPS}
     out["grp12_enquiries"] = wide_enquiry
-    return out
+    return {name: _tuned(query) for name, query in out.items()}
+
+
+def _tuned(query: Query) -> Query:
+    return lambda spark, sf: query(tune(spark), sf)
 
 
 def oracle_sql() -> dict[str, str]:

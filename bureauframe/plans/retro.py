@@ -11,6 +11,7 @@ from bureauframe.operators.aggregate import feature_frame, gather
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS
 from bureauframe.plans.features import FeatureGroup
 from bureauframe.plans.rows import account_rows, enquiry_rows
+from bureauframe.session import tune
 from bureauframe.sources import sinks, tables
 from bureauframe.sources.schemas import REFERENCE_DATE, RETRO_KEYS
 
@@ -51,6 +52,7 @@ def run(
     window_months: int = asof.SNAPSHOT_WINDOW_MONTHS,
 ) -> None:
     """Both feature tables for a list of references, replacing earlier results."""
+    tune(spark)
     parties = tables.read_master(spark, master)
     wanted = asof.reference_keys(tables.read_references(spark, references))
     resolved = asof.resolve_snapshots(wanted, parties, window_months)

@@ -16,6 +16,7 @@ from bureauframe.operators.incremental import delivered_dates, pending_dates, wr
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS
 from bureauframe.plans.features import FeatureGroup
 from bureauframe.plans.rows import account_rows, enquiry_rows
+from bureauframe.session import tune
 from bureauframe.sources import sinks, tables
 from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, SCRUB_DATE
 
@@ -87,6 +88,7 @@ def run_date(spark: SparkSession, names: ScrubTables, date: str, force: bool = F
         day = F.lit(date).cast("date")
         return force or written_dates(spark, sink).filter(F.col(SCRUB_DATE) == day).isEmpty()
 
+    tune(spark)
     master = tables.read_master(spark, names.master)
     written = []
     if missing(names.tradeline_sink):
