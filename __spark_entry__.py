@@ -24,6 +24,15 @@ from oracle import queries as oracle_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:
+    import corpus_pipeline
+    from bureauframe.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    # The training-data operators are optional; anything else that is missing is a fault.
+    if error.name not in ("corpus_pipeline", "bureauframe.llm", "bureauframe.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SCRUB = [CUSTOMER_KEY, SCRUB_DATE]
 EARLIER, LATER = derived.SCRUB_DATES
 
@@ -293,7 +302,10 @@ def queries() -> dict[str, Query]:
     out |= {name: _row_query(list(cols)) for name, cols in oracle_queries.ROW_QUERIES.items()}
     out |= {group.name: _group_query(group.name) for group in ACCOUNT_GROUPS}
     out["grp12_enquiries"] = wide_enquiry
-    return {name: _tuned(query) for name, query in out.items()}
+    out = {name: _tuned(query) for name, query in out.items()}
+    if llm_queries:
+        out |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 def _tuned(query: Query) -> Query:
@@ -301,4 +313,9 @@ def _tuned(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.statements()
+    out = oracle_queries.statements()
+    if llm_queries:
+        out |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
