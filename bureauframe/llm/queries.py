@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bureauframe.llm import bpe, simple8b
+from bureauframe.llm import bpe, langid, simhash, simple8b, substring
 from bureauframe.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,13 +19,32 @@ def op3_simple8b_ids(spark: SparkSession, sf: str) -> DataFrame:
     return simple8b.checksums(simple8b.read_ids(spark, path))
 
 
+def op4_language_filters(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def op5_simhash_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op7_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return bpe.encode_documents(docs, TOKENIZER, bpe.digests, bpe.DIGESTS)
 
 
+def op10_collinear_chains(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.repeats(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_simple8b_ids, op7_tree_bpe]
+    found = [
+        op3_simple8b_ids,
+        op4_language_filters,
+        op5_simhash_variants,
+        op7_tree_bpe,
+        op10_collinear_chains,
+    ]
     return {query.__name__: query for query in found}
 
 
