@@ -53,6 +53,10 @@ def _blob(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def numbers(blob: bytes) -> list[int]:
+    return np.frombuffer(blob, "<u4").tolist()
+
+
 class _NoWord(Exception):
     """White space follows a space: words do not encode apart there."""
 
@@ -248,12 +252,15 @@ class Encoder:
             return [text]
         return self.halves(text[:cut], leaf) + self.halves(text[cut:], leaf)
 
-    def tree(self, parts: list[list[int]]) -> list[int]:
+    def tree(self, leaves: list[bytes]) -> bytes:
         """Join neighbours level by level."""
+        if len(leaves) == 1:
+            return leaves[0]
+        parts = [numbers(x) for x in leaves]
         while len(parts) > 1:
             joined = [self.join_texts(a, b) for a, b in zip(parts[::2], parts[1::2], strict=False)]
             parts = joined + parts[len(joined) * 2 :]
-        return parts[0] if parts else []
+        return _blob(parts[0])
 
     def join_texts(self, left: list[int], right: list[int]) -> list[int]:
         """`join`, between the special tokens nearest to the cut: text beyond them is apart."""
@@ -270,12 +277,11 @@ class Encoder:
             self._special_ids = frozenset(self.tokenizer.get_added_tokens_decoder())
         return self._special_ids
 
-    def tree_encode(self, texts: list[str], leaf: int = LEAF_CHARS) -> list[list[int]]:
+    def tree_encode(self, texts: list[str], leaf: int = LEAF_CHARS) -> list[bytes]:
+        """Ids of whole texts, as bytes: leaves encoded on their own, then joined."""
         leaves = [self.halves(t, leaf) for t in texts]
         flat = iter(self.encode([x for one in leaves for x in one]))
-        return [
-            self.tree([np.frombuffer(next(flat), "<u4").tolist() for _ in one]) for one in leaves
-        ]
+        return [self.tree([next(flat) for _ in one]) for one in leaves]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -298,16 +304,18 @@ def text_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(lo, hi - lo)
 
 
-Finish = Callable[[Encoder, list[list[int]]], list[pa.Array]]
+#: Makes columns from doc_ids and the ids of their texts, which are bytes.
+Finish = Callable[[Encoder, pa.Array, list[bytes]], list[pa.Array]]
 
 
-def blobs(enc: Encoder, rows: list[list[int]]) -> list[pa.Array]:
+def blobs(enc: Encoder, docs: pa.Array, rows: list[bytes]) -> list[pa.Array]:
     """The ids as bytes of little-endian 32-bit numbers."""
-    return [pa.array([_blob(x) for x in rows], pa.binary())]
+    return [pa.array(rows, pa.binary())]
 
 
-def digests(enc: Encoder, rows: list[list[int]]) -> list[pa.Array]:
+def digests(enc: Encoder, docs: pa.Array, found: list[bytes]) -> list[pa.Array]:
     """Number of ids, SHA-256 of the decimal ids with commas, SHA-256 of the decoded text."""
+    rows = [numbers(x) for x in found]
     ids = [hashlib.sha256(b",".join(map(enc.decimal.__getitem__, x))).hexdigest() for x in rows]
     texts = [hashlib.sha256(enc.decode(x).encode()).hexdigest() for x in rows]
     return [pa.array([len(x) for x in rows], pa.int64()), pa.array(ids), pa.array(texts)]
@@ -335,7 +343,7 @@ def encode_documents(
         enc = encoder(path)
         for batch in text_batches(batches):
             ids = enc.tree_encode(batch.column("text").to_pylist())
-            columns = [batch.column("doc_id"), *finish(enc, ids)]
+            columns = [batch.column("doc_id"), *finish(enc, batch.column("doc_id"), ids)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     def cut(batches):
@@ -356,15 +364,15 @@ def encode_documents(
         for batch in text_batches(batches):
             ids = enc.tree_encode(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "row", "at")), *blobs(enc, ids)],
+                [*(batch.column(c) for c in ("doc_id", "row", "at")), pa.array(ids, pa.binary())],
                 ["doc_id", "row", "at", "ids"],
             )
 
     def joined(leaves: pa.Table) -> pa.Table:
         enc = encoder(path)
         leaves = leaves.sort_by("at")
-        parts = [np.frombuffer(x, "<u4").tolist() for x in leaves.column("ids").to_pylist()]
-        columns = [leaves.column("doc_id").slice(0, 1), *finish(enc, [enc.tree(parts)])]
+        doc = leaves.column("doc_id").slice(0, 1).combine_chunks()
+        columns = [doc, *finish(enc, doc, [enc.tree(leaves.column("ids").to_pylist())])]
         return pa.table(columns, names)
 
     done = short.mapInArrow(whole, schema)

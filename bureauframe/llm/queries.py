@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bureauframe.llm import bpe, langid, simhash, simple8b, substring
+from bureauframe.llm import binpack, bpe, langid, mixing, simhash, simple8b, substring
 from bureauframe.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_vector_bin_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return binpack.shard(table(spark, sf, "documents"))
+
+
 def op3_simple8b_ids(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "simple8b")
     simple8b.write_ids(table(spark, sf, "documents"), path, TOKENIZER)
@@ -28,6 +32,11 @@ def op5_simhash_variants(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op6_subset_sum_mix(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return bpe.encode_documents(docs, TOKENIZER, bpe.digests, bpe.DIGESTS)
@@ -39,9 +48,11 @@ def op10_collinear_chains(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op2_vector_bin_packing,
         op3_simple8b_ids,
         op4_language_filters,
         op5_simhash_variants,
+        op6_subset_sum_mix,
         op7_tree_bpe,
         op10_collinear_chains,
     ]

@@ -131,16 +131,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> No
     found = docs.agg(F.percentile_approx("doc_id", points, 10_000).alias("at")).first()
     bounds = np.array(sorted(set((found and found["at"]) or [])), np.int64)
 
-    def packed(enc, rows):
+    def packed(enc, doc_ids, rows):
         press = zstandard.ZstdCompressor(level=1)
-        return [pa.array([press.compress(np.array(x, "<u4").tobytes()) for x in rows], pa.binary())]
-
-    def placed(batches):
-        for batch in batches:
-            doc = batch.column("doc_id")
-            at = np.searchsorted(bounds, doc.fill_null(-(2**63)).to_numpy(), side="right")
-            columns = [pa.array(at, pa.int32()), *batch.columns]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "ids"])
+        part = np.searchsorted(bounds, doc_ids.fill_null(-(2**63)).to_numpy(False), side="right")
+        ids = pa.array([press.compress(x) for x in rows], pa.binary())
+        return [pa.array(part, pa.int32()), ids]
 
     def blocks(batches):
         part, number, first, docs_, rows, held = None, 0, 0, [], [], 0
@@ -173,11 +168,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> No
         if rows:
             yield close()
 
-    encoded = bpe.encode_documents(docs, tokenizer, packed, "ids binary")
     ordered = (
-        encoded.mapInArrow(placed, "part int, doc_id long, ids binary")
+        bpe.encode_documents(docs, tokenizer, packed, "part int, ids binary")
         .repartitionById(len(bounds) + 1, F.col("part"))
         .sortWithinPartitions("part", "doc_id", "ids")
+        .select("part", "doc_id", "ids")
     )
     ordered.mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(path)
 

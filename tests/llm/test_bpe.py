@@ -29,7 +29,7 @@ def test_tree_equals_library(enc, leaf):
     rng = random.Random(leaf)
     texts = ["".join(rng.choices(PIECES, k=rng.randint(0, 40))) for _ in range(600)]
     texts += ["a" * 300, " " * 300 + "x", "=" * 257, "日" * 200, "ab" * 100 + "'s", "\n" * 99 + " b", ""]
-    assert enc.tree_encode(texts, leaf) == enc.plain(texts)
+    assert list(map(bpe.numbers, enc.tree_encode(texts, leaf))) == enc.plain(texts)
 
 
 def test_word_cache_equals_library(enc):
@@ -37,7 +37,7 @@ def test_word_cache_equals_library(enc):
     for _ in range(5):
         texts = ["".join(rng.choices(PIECES, k=rng.randint(0, 60))) for _ in range(200)]
         texts += [" ".join(rng.choices(["the", "a", "x\ny", "end.\n\nNew", "é,"], k=50)) for _ in range(50)]
-        assert [list(memoryview(x).cast("I")) for x in enc.encode(texts)] == enc.plain(texts)
+        assert list(map(bpe.numbers, enc.encode(texts))) == enc.plain(texts)
 
 
 def test_decode_equals_library(enc):
