@@ -7,12 +7,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bureauframe.llm import binpack, bpe, langid, mixing, simhash, simple8b, substring
+from bureauframe.llm import (
+    balltree,
+    binpack,
+    bpe,
+    extract,
+    langid,
+    mixing,
+    routing,
+    simhash,
+    simple8b,
+    substring,
+)
 from bureauframe.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_learned_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    return routing.search(table(spark, sf, "embeddings"))
+
+
 def op2_vector_bin_packing(spark: SparkSession, sf: str) -> DataFrame:
     return binpack.shard(table(spark, sf, "documents"))
 
@@ -42,22 +57,34 @@ def op7_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_documents(docs, TOKENIZER, bpe.digests, bpe.DIGESTS)
 
 
+def op8_host_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.extract(table(spark, sf, "pages"))
+
+
+def op9_ball_trees(spark: SparkSession, sf: str) -> DataFrame:
+    return balltree.search_all(table(spark, sf, "embeddings"))
+
+
 def op10_collinear_chains(spark: SparkSession, sf: str) -> DataFrame:
     return substring.repeats(table(spark, sf, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_learned_partitions,
         op2_vector_bin_packing,
         op3_simple8b_ids,
         op4_language_filters,
         op5_simhash_variants,
         op6_subset_sum_mix,
         op7_tree_bpe,
+        op8_host_suffix_array,
+        op9_ball_trees,
         op10_collinear_chains,
     ]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only exact search can be said in SQL; the others have brute-force tests."""
+    return {"op9_ball_trees": balltree.ORACLE}

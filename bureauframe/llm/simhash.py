@@ -65,6 +65,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return slim.mapInArrow(each, "doc_id long, fp long")
 
 
+def fingerprint_column():
+    """A column function: text to its fingerprint in hex digits."""
+
+    @F.arrow_udf("string")
+    def each(texts: pa.Array) -> pa.Array:
+        return pa.array([f"{fingerprint(t):016x}" for t in texts.to_pylist()], pa.string())
+
+    return each
+
+
 def variants(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of unsigned fingerprints: half, bit left out and the half without it, in one number."""
     keys = []
