@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bureauframe.functions.dates import parse_date
 from bureauframe.operators import asof, checks, frames, incremental
-from bureauframe.plans import retro, scrub
+from bureauframe.operators.frames import rounded
+from bureauframe.plans import listing, retro, scrub
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, GROUPS
 from bureauframe.plans.companions import COMPANIONS
+from bureauframe.plans.features import ACCOUNT, FeatureGroup, count, distinct
 from bureauframe.plans.rows import account_rows
-from bureauframe.session import tune
+from bureauframe.session import shared_folder, tune
 from bureauframe.sources import derived, sinks, tables
 from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, SCRUB_DATE
+from bureauframe.sources.tables import partition_columns
 from oracle import queries as oracle_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,25 +38,9 @@ SCRUB = [CUSTOMER_KEY, SCRUB_DATE]
 EARLIER, LATER = derived.SCRUB_DATES
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to 6 digits, so that summation order does not show. The shift by 1e-9 keeps exact
-    ties at the seventh digit from depending on the last bit; adding 0.0 drops a negative zero."""
-    return df.select(
-        *(
-            (F.round(F.col(f.name) + F.lit(1e-9), 6) + F.lit(0.0)).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        )
-    )
-
-
 def _scratch(spark: SparkSession) -> str:
-    """A new folder: under the shared one the cluster names, or a local one in a bare session."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="bureauframe-")
-    return os.path.join(shared, "bureauframe-" + os.urandom(8).hex())
+    """A new folder under the shared one the cluster names."""
+    return os.path.join(shared_folder(spark), "bureauframe-" + os.urandom(8).hex())
 
 
 # -- sources and as-of joins ----------------------------------------------------------------------
@@ -172,7 +157,7 @@ def companion_mask(spark: SparkSession, sf: str) -> DataFrame:
 # -- runs that write ------------------------------------------------------------------------------
 
 
-def scrub_run(spark: SparkSession, sf: str) -> DataFrame:
+def _scrubbed(spark: SparkSession, sf: str, **options) -> scrub.ScrubTables:
     """Incremental run over written inputs: one delivery, then all pending ones."""
     root = _scratch(spark)
     for name in ("tradeline", "enquiry", "master"):
@@ -185,15 +170,37 @@ def scrub_run(spark: SparkSession, sf: str) -> DataFrame:
         f"{root}/tradeline_features",
         f"{root}/enquiry_features",
     )
-    scrub.run(spark, names, EARLIER)
-    scrub.run(spark, names, "ALL")
-    return rounded(spark.read.parquet(names.tradeline_sink))
+    scrub.run(spark, names, EARLIER, **options)
+    scrub.run(spark, names, "ALL", **options)
+    return names
 
 
-def retro_run(spark: SparkSession, sf: str) -> DataFrame:
+def scrub_run(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(spark.read.parquet(_scrubbed(spark, sf).tradeline_sink))
+
+
+def scrub_run_enquiry(spark: SparkSession, sf: str) -> DataFrame:
+    small = scrub.Computation(account_groups=(GROUPS["grp04_bureau_vintage"],))
+    names = _scrubbed(spark, sf, computation=small)
+    return rounded(spark.read.parquet(names.enquiry_sink))
+
+
+def own_group_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs with a group of the caller's, then one delivery computed again by force."""
+    own = FeatureGroup(
+        "own", ACCOUNT, (count("open_cards", "live AND cc"), distinct("products", "acct"))
+    )
+    computation = scrub.Computation((own,), (GROUPS["grp12_enquiries"],), strict=True)
+    names = _scrubbed(spark, sf, computation=computation)
+    scrub.run(spark, names, "RANGE", EARLIER, EARLIER, force=True, computation=computation)
+    return spark.read.parquet(names.tradeline_sink)
+
+
+def _retro(spark: SparkSession, sf: str) -> str:
     root = _scratch(spark)
     for name in ("tradeline", "enquiry", "master", "references"):
-        sinks.write_overwrite(getattr(derived, name)(spark, sf), f"{root}/{name}")
+        frame = getattr(derived, name)(spark, sf)
+        sinks.write_overwrite(frame, f"{root}/{name}", SCRUB_DATE if name == "tradeline" else None)
     retro.run(
         spark,
         f"{root}/references",
@@ -202,8 +209,21 @@ def retro_run(spark: SparkSession, sf: str) -> DataFrame:
         f"{root}/master",
         f"{root}/tradeline_features",
         f"{root}/enquiry_features",
+        unmatched_sink=f"{root}/unmatched",
     )
-    return rounded(spark.read.parquet(f"{root}/enquiry_features"))
+    return root
+
+
+def retro_run(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(spark.read.parquet(f"{_retro(spark, sf)}/enquiry_features"))
+
+
+def retro_run_tradeline(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(spark.read.parquet(f"{_retro(spark, sf)}/tradeline_features"))
+
+
+def retro_run_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{_retro(spark, sf)}/unmatched")
 
 
 def _account_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,6 +261,33 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def _catalog_name() -> str:
+    return "bureauframe_" + os.urandom(8).hex()
+
+
+def catalog_append(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table: written, then one partition of it replaced by a frame with a new column."""
+    target = _catalog_name()
+    counts = _account_counts(spark, sf)
+    sinks.write_append(counts.select(*SCRUB, "n"), target, SCRUB_DATE)
+    again = counts.filter(F.col(SCRUB_DATE) == LATER)
+    sinks.write_append(again, target, SCRUB_DATE, evolve=True)
+    return spark.table(target)
+
+
+def merge_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Merge into a partitioned catalog table: customers updated and added."""
+    target = _catalog_name()
+    counts = _account_counts(spark, sf)
+    sinks.write(counts.filter("n > 5"), target, "append", SCRUB_DATE)
+    changed = counts.filter("closed > 2").withColumn("n", -F.col("n"))
+    added = counts.filter("NOT n > 5 AND NOT closed > 2")
+    sinks.write(changed.unionByName(added), target, "merge", SCRUB_DATE, SCRUB)
+    if partition_columns(spark, target) != [SCRUB_DATE]:
+        raise ValueError("the merge lost the partitions of its target")
+    return spark.table(target)
+
+
 def pending_dates(spark: SparkSession, sf: str) -> DataFrame:
     """One sink is complete, the other holds only the earlier delivery."""
     root = _scratch(spark)
@@ -248,10 +295,16 @@ def pending_dates(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_append(counts, f"{root}/complete", SCRUB_DATE)
     sinks.write_append(counts.filter(F.col(SCRUB_DATE) == EARLIER), f"{root}/partial", SCRUB_DATE)
     written = [incremental.written_dates(spark, f"{root}/{n}") for n in ("complete", "partial")]
-    delivered = incremental.delivered_dates(derived.tradeline(spark, sf))
+    delivered = incremental.source_dates(spark, f"{root}/complete")
     return incremental.pending_dates(delivered, written)
 
 
+def rows_per_sink_date(spark: SparkSession, sf: str) -> DataFrame:
+    target = f"{_scratch(spark)}/sink"
+    sinks.write_append(_account_counts(spark, sf), target, SCRUB_DATE)
+    return checks.rows_per_date(spark, target, SCRUB_DATE)
+
+
 # -- checks and helpers ---------------------------------------------------------------------------
 
 
@@ -268,6 +321,22 @@ def feature_listing(spark: SparkSession, sf: str) -> DataFrame:
     return checks.feature_listing(flags, [CUSTOMER_KEY, PARTY, SCRUB_DATE])
 
 
+def customer_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """All 377 features of one customer: the first with enquiries in the later delivery."""
+    enquiry, tradeline = derived.enquiry(spark, sf), derived.tradeline(spark, sf)
+    seen = asof.scrub_enquiries(enquiry, tradeline, LATER).agg(F.min(CUSTOMER_KEY)).first()[0]
+    return listing.customer_listing(tradeline, enquiry, derived.master(spark, sf), seen, LATER, digits=6)
+
+
+def grp12_enquiries(spark: SparkSession, sf: str) -> DataFrame:
+    """The enquiry group of one delivery."""
+    return rounded(
+        scrub.enquiry_features(
+            derived.enquiry(spark, sf), derived.tradeline(spark, sf), derived.master(spark, sf), LATER
+        )
+    )
+
+
 def frame_helpers(spark: SparkSession, sf: str) -> DataFrame:
     """Prefixing, prefixed join, NULL filling and safe division on one small report."""
     orders = spark.read.parquet(f"{sf}/orders.parquet").groupBy("o_custkey")
@@ -294,14 +363,15 @@ def queries() -> dict[str, Query]:
     plain = [
         parse_dates, party_map, scrub_tradeline, scrub_enquiry, reference_keys, asof_snapshot,
         unmatched_references, retro_tradeline, retro_enquiry, wide_tradeline, wide_enquiry,
-        wide_retro, wide_retro_enquiry, group_assembly, companion_mask, scrub_run, retro_run,
-        partition_overwrite, full_overwrite, merge_upsert, pending_dates, pk_check,
-        rows_per_scrub, feature_listing, frame_helpers,
+        wide_retro, wide_retro_enquiry, group_assembly, companion_mask, scrub_run,
+        scrub_run_enquiry, own_group_run, retro_run, retro_run_tradeline, retro_run_unmatched,
+        partition_overwrite, full_overwrite, merge_upsert, catalog_append, merge_layout,
+        pending_dates, pk_check, rows_per_scrub, rows_per_sink_date, feature_listing,
+        customer_listing, grp12_enquiries, frame_helpers,
     ]
     out: dict[str, Query] = {query.__name__: query for query in plain}
     out |= {name: _row_query(list(cols)) for name, cols in oracle_queries.ROW_QUERIES.items()}
     out |= {group.name: _group_query(group.name) for group in ACCOUNT_GROUPS}
-    out["grp12_enquiries"] = wide_enquiry
     out = {name: _tuned(query) for name, query in out.items()}
     if llm_queries:
         out |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}

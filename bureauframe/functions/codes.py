@@ -24,6 +24,13 @@ SECURED = (
 )
 MICROFINANCE = ("167", "169", "170")
 PEER_TO_PEER = ("245", "246", "247")
+#: All products named above.
+ANY_PRODUCT = tuple(
+    sorted(
+        {*PERSONAL, *SHORT_TERM_PERSONAL, *CONSUMER, *CARD, *GOLD, *AUTO, *HOME}
+        | {*SECURED_PERSONAL, *UNSECURED_NAMED, *SECURED, *MICROFINANCE, *PEER_TO_PEER}
+    )
+)
 
 # Lender types.
 NBFC = ("NBF",)

@@ -24,39 +24,60 @@ DATE_FORMATS = (
 )
 
 
-def _shapes(fmt: str) -> list[str]:
-    """The format with every digit as 0; an offset is written "Z", "+hh:mm" or "-hh:mm"."""
-    body = fmt.replace("'", "")
-    offsets = [""]
-    if body.endswith("XXX"):
-        body, offsets = body.removesuffix("XXX"), ["Z", "+00:00", "-00:00"]
-    return [re.sub("[yMdHmsS]", "0", body) + offset for offset in offsets]
+#: Loose forms of the plain dates, and how their parts make an ISO date. What follows a date is
+#: ignored, as are blanks before it, so a time of day and an offset change nothing: no text depends
+#: on the session's time zone.
+_LOOSE = (
+    (
+        r"(?:(\d{1,2})([-/])(\d{1,2})\2(\d{4})|(\d{4})([-/])(\d{1,2})\6(\d{1,2})"
+        r"|(\d{4})(\d{2})(\d{2}))",
+        "$4$5$9-$3$7$10-$1$8$11",
+    ),
+    (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
+)
 
 
 def _read(text: str, fmt: str) -> str:
-    """Parse a text known to have the shape of `fmt`. A plain date is rearranged to ISO order and
-    cast, which costs a fraction of a pattern parse and raises no error inside."""
-    if "H" in fmt:
-        return f'try_to_date({text}, "{fmt}")'
+    """Rearrange a text known to have the shape of `fmt` to ISO order and cast it, which costs a
+    fraction of a pattern parse and raises no error inside."""
     parts = (f"substr({text}, {fmt.index(p) + 1}, {len(p)})" for p in ("yyyy", "MM", "dd"))
     return f"try_cast(concat_ws('-', {', '.join(parts)}) AS DATE)"
 
 
+def _search(text: str) -> str:
+    """The same dates wherever a pattern parse would see them: after blanks, with single digits,
+    before other text. Text of another form becomes "--", which is no date."""
+    reads = []
+    for pattern, iso in _LOOSE:
+        whole = rf"(?s)^(?:[ \t]*{pattern}(?!\d).*|.*)$".replace("\\", r"\\")
+        reads.append(f"try_cast(regexp_replace({text}, '{whole}', '{iso}') AS DATE)")
+    return f"coalesce({', '.join(reads)})"
+
+
 def date_sql(column: str) -> str:
     """Text (or a date) to a date; NULL when no format fits.
 
-    The shape of the text picks its candidates, at most two, so text that is no date is never
-    parsed. Days and months need two digits, years four, and impossible dates are NULL.
+    The shape of the text picks its candidates: a padded date, alone or before a time of day, is
+    cut out at fixed places. Only other text of eight characters or more that holds a digit is
+    searched by pattern. Impossible dates are NULL, and so are years of fewer than four digits,
+    which a lenient parser would take for years of the first century.
     """
     text = f"CAST({column} AS STRING)"
+    plain = [f for f in DATE_FORMATS if "H" not in f]
     by_shape: dict[str, list[str]] = {}
-    for fmt in DATE_FORMATS:
-        for shape in _shapes(fmt):
-            by_shape.setdefault(shape, []).append(_read(text, fmt))
+    for fmt in plain:
+        by_shape.setdefault(re.sub("[yMd]", "0", fmt), []).append(_read(text, fmt))
+    shape = f"translate({text}, '123456789', '000000000')"
     branches = " ".join(
-        f"WHEN '{shape}' THEN coalesce({', '.join(reads)})" for shape, reads in by_shape.items()
+        f"WHEN {shape} = '{known}' THEN coalesce({', '.join(reads)})"
+        for known, reads in by_shape.items()
+    )
+    return (
+        f"CASE {branches} "
+        f"WHEN {shape} LIKE '0000-00-00%' AND NOT {shape} LIKE '0000-00-000%' "
+        f"THEN try_cast(left({text}, 10) AS DATE) "
+        f"WHEN length({text}) >= 8 AND {shape} LIKE '%0%' THEN {_search(text)} END"
     )
-    return f"CASE translate({text}, '123456789', '000000000') {branches} END"
 
 
 def parse_date(column: str) -> Column:

@@ -11,20 +11,23 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bureauframe.plans.features import Feature, FeatureGroup
 
 _FLAGS_PER_MASK = 32
 
 
-def _aggregate_sql(feature: Feature) -> str:
+def _aggregate_sql(feature: Feature, weight: str | None) -> str:
+    if feature.kind == "count" and weight:
+        return f"coalesce(sum(CASE WHEN {feature.where} THEN {weight} END), 0L)"
     if feature.kind == "count":
         return f"count(CASE WHEN {feature.where} THEN 1 END)"
     value = feature.value
     if feature.where:
         value = f"CASE WHEN {feature.where} THEN {value} END"
-    if feature.kind == "distinct":
-        return f"CAST(size(collect_set({value})) AS BIGINT)"
+    if weight and feature.kind in ("sum", "avg"):
+        raise ValueError(f"{feature.name}: no {feature.kind} over weighted rows")
     out = f"{feature.kind}({value})"
     return f"coalesce({out}, 0.0D)" if feature.zero else out
 
@@ -56,18 +59,74 @@ def gather(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return gathered.drop("_gather")
 
 
+def _listed_bits(feature: Feature) -> tuple[str, str]:
+    """A distinct count as bits, one for each listed value: the mask and how to count it."""
+    values = ", ".join(f"'{v}'" for v in feature.listed)
+    place = f"array_position(array({values}), {feature.value})"
+    hit = f"CASE WHEN {place} > 0 THEN shiftleft(1L, CAST({place} - 1 AS INT)) ELSE 0L END"
+    if feature.where:
+        hit = f"CASE WHEN {feature.where} THEN {hit} ELSE 0L END"
+    return f"bit_or({hit})", f"bit_count(_bits_{feature.name})"
+
+
+def _unlisted(rows: DataFrame, keys: Sequence[str], feature: Feature) -> DataFrame:
+    """Distinct values beyond the listed ones, by a pass of its own over a few columns."""
+    where = f"{feature.value} IS NOT NULL" + (f" AND ({feature.where})" if feature.where else "")
+    if feature.listed:
+        names = ", ".join(f"'{v}'" for v in feature.listed)
+        where += f" AND {feature.value} NOT IN ({names})"
+    found = rows.filter(where).selectExpr(*keys, f"{feature.value} AS _value").distinct()
+    return found.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_more_{feature.name}"))
+
+
+def _null_free(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """Replace each key by a value and whether it is NULL. Joins on these are plain equalities, so
+    what is grouped by them joins without another shuffle. Returns how to get the keys back."""
+    stand_in = {T.StringType(): "''", T.DateType(): "DATE '1970-01-01'"}
+    items, pairs, back = [], [], []
+    for i, key in enumerate(keys):
+        kind = rows.schema[key].dataType
+        value = stand_in.get(kind, f"CAST(0 AS {kind.simpleString()})")
+        items += [f"coalesce({key}, {value}) AS _key{i}", f"{key} IS NULL AS _null{i}"]
+        pairs += [f"_key{i}", f"_null{i}"]
+        back.append(f"CASE WHEN NOT _null{i} THEN _key{i} END AS {key}")
+    return rows.selectExpr("*", *items), pairs, back
+
+
 def feature_frame(
-    rows: DataFrame, keys: Sequence[str], groups: Iterable[FeatureGroup]
+    rows: DataFrame,
+    keys: Sequence[str],
+    groups: Iterable[FeatureGroup],
+    weight: str | None = None,
 ) -> DataFrame:
-    """One row per key with the features of all groups, in catalogue order."""
+    """One row per key with the features of all groups, in catalogue order. `weight` names a column
+    that says how many rows a row stands for.
+
+    Distinct counts never enter the wide aggregation as sets, which would turn all of it into
+    object aggregation: listed values travel as bits, others are counted apart and joined.
+    """
     features = [feature for group in groups for feature in group.features]
+    distincts = [f for f in features if f.kind == "distinct"]
     packed, unpacked = _masks([f for f in features if f.kind == "flag"])
-    plain = {f.name: _aggregate_sql(f) for f in features if f.kind not in ("flag", "derived")}
-    aggregates = [F.expr(f"{sql} AS {name}") for name, sql in (plain | packed).items()]
-    grouped = rows.groupBy(*keys).agg(*aggregates)
+    plain = {
+        f.name: _aggregate_sql(f, weight)
+        for f in features
+        if f.kind not in ("flag", "derived", "distinct")
+    }
+    bits = {f"_bits_{f.name}": _listed_bits(f)[0] for f in distincts if f.listed}
+    aggregates = [F.expr(f"{sql} AS {name}") for name, sql in (plain | packed | bits).items()]
+    by, back = list(keys), list(keys)
+    if distincts:
+        rows, by, back = _null_free(rows, keys)
+    grouped = rows.groupBy(*by).agg(*aggregates or [F.count(F.lit(1)).alias("_rows")])
+    counted = {}
+    for feature in distincts:
+        grouped = grouped.join(_unlisted(rows, by, feature), by, "left")
+        listed = _listed_bits(feature)[1] if feature.listed else "0"
+        counted[feature.name] = f"CAST({listed} + coalesce(_more_{feature.name}, 0) AS BIGINT)"
 
     opened = grouped.selectExpr(
-        *keys, *plain, *(f"{sql} AS {name}" for name, sql in unpacked.items())
+        *back, *plain, *(f"{sql} AS {name}" for name, sql in (unpacked | counted).items())
     )
     return opened.selectExpr(
         *keys,

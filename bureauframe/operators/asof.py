@@ -18,8 +18,8 @@ SNAPSHOT_WINDOW_MONTHS = 12
 def party_map(master: DataFrame) -> DataFrame:
     """One party per customer key: the smallest, where NULL sorts first.
 
-    An aggregate instead of a ranking window: parts combine before the shuffle and nothing is
-    sorted.
+    An aggregate instead of a ranking window: parts combine before the shuffle, so a key never
+    meets all its rows. (Spark sorts within a task for minima of text.)
     """
     party = F.when(F.count(F.when(F.col(PARTY).isNull(), 1)) == 0, F.min(PARTY))
     return master.groupBy(CUSTOMER_KEY).agg(party.alias(PARTY))
@@ -55,7 +55,7 @@ def resolve_snapshots(
 
     The master is first reduced to one row per party and delivery (smallest customer key), so a
     party meets each of its references once per delivery however many keys it has; `max` over
-    (date, key) then picks the latest without sorting.
+    (date, key) then picks the latest from parts combined before the shuffle.
     """
     deliveries = master.groupBy(PARTY, SCRUB_DATE).agg(F.min(CUSTOMER_KEY).alias(CUSTOMER_KEY))
     day, limit = F.col(REFERENCE_DATE), F.add_months(F.col(REFERENCE_DATE), months)
@@ -74,8 +74,15 @@ def unmatched_references(references: DataFrame, resolved: DataFrame) -> DataFram
 
 
 def retro_tradeline(tradeline: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Accounts of the resolved delivery, once per reference."""
-    return tradeline.drop(PARTY).join(resolved, [CUSTOMER_KEY, SCRUB_DATE])
+    """Accounts of the resolved delivery, once per reference.
+
+    The dates of the deliveries asked for, one each, are fetched first: as a filter on the partition
+    column they keep all other deliveries from being listed or read. `resolved` itself, which grows
+    with the references, is joined after; persist it if it is dear.
+    """
+    wanted = [row[SCRUB_DATE] for row in resolved.select(SCRUB_DATE).distinct().collect()]
+    read = tradeline.drop(PARTY).filter(F.col(SCRUB_DATE).isin(wanted))
+    return read.join(resolved, [CUSTOMER_KEY, SCRUB_DATE])
 
 
 def retro_enquiries(
@@ -93,3 +100,26 @@ def retro_enquiries(
     if dedup_on:
         found = found.dropDuplicates([PARTY, REFERENCE_DATE, *dedup_on])
     return found
+
+
+WEIGHT = "enquiries"
+
+
+def weighted_retro_enquiries(
+    enquiry: DataFrame, resolved: DataFrame, master: DataFrame
+) -> DataFrame:
+    """The rows of `retro_enquiries` as features see them, with how many are alike in WEIGHT.
+
+    Enquiries are brought to the party and counted by date, purpose and lender before they meet the
+    references: a party with many keys and many references multiplies neither by the other.
+    """
+    keys = master.select(CUSTOMER_KEY, PARTY).distinct()
+    kinds = ["inq_date", "inq_purp_cd", "m_sub_id"]
+    counted = (
+        enquiry.select(CUSTOMER_KEY, *kinds)
+        .join(keys, CUSTOMER_KEY)
+        .groupBy(PARTY, *kinds)
+        .agg(F.count(F.lit(1)).alias(WEIGHT))
+    )
+    found = resolved.select(PARTY, REFERENCE_DATE).join(counted, PARTY)
+    return found.filter(parse_date("inq_date") <= F.col(REFERENCE_DATE))

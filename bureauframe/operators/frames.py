@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def safe_join(
@@ -33,6 +34,19 @@ def safe_divide(numerator: str, denominator: str) -> Column:
     return F.try_divide(F.col(numerator), F.col(denominator))
 
 
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to a few digits, so that summation order does not show. The shift by 1e-9 keeps exact
+    ties at the next digit from depending on the last bit; adding 0.0 drops a negative zero."""
+    return df.select(
+        *(
+            (F.round(F.col(f.name) + F.lit(1e-9), digits) + F.lit(0.0)).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        )
+    )
+
+
 def distinct_columns(df: DataFrame) -> DataFrame:
     """Keep the first column of each name."""
     if len(set(df.columns)) == len(df.columns):

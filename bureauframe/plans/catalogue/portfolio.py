@@ -1,5 +1,6 @@
 """Account counts, active portfolio, bureau age bands, vintage, recency and behaviour flags."""
 
+from bureauframe.functions import codes
 from bureauframe.plans.features import (
     ACCOUNT,
     FeatureGroup,
@@ -125,7 +126,7 @@ RECENCY = FeatureGroup(
         flag("flag_pl_opened_last_3m", "pl AND mso <= 3"),
         flag("flag_cc_opened_last_6m", "cc AND mso <= 6"),
         flag("flag_any_opened_last_1m", "mso <= 1"),
-        distinct("count_products_ever", "acct", EVER),
+        distinct("count_products_ever", "acct", EVER, codes.ANY_PRODUCT),
     ),
 )
 

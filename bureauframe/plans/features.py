@@ -20,6 +20,7 @@ class Feature:
     where: str | None = None
     zero: bool = False  # deliver 0.0 instead of NULL when no row qualifies
     hidden: bool = False  # only feeds derived features
+    listed: tuple[str, ...] = ()  # of a distinct count: values known beforehand, at most 63
 
 
 def count(name: str, where: str) -> Feature:
@@ -47,8 +48,11 @@ def mean(name: str, value: str, where: str | None = None) -> Feature:
     return Feature(name, "avg", value, where)
 
 
-def distinct(name: str, value: str, where: str | None = None) -> Feature:
-    return Feature(name, "distinct", value, where)
+def distinct(
+    name: str, value: str, where: str | None = None, listed: tuple[str, ...] = ()
+) -> Feature:
+    """Number of distinct values. Values in `listed` are cheaper; any other value counts too."""
+    return Feature(name, "distinct", value, where, listed=listed[:63])
 
 
 def derived(name: str, expression: str) -> Feature:

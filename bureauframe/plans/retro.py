@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from bureauframe.operators import asof
@@ -11,7 +13,8 @@ from bureauframe.operators.aggregate import feature_frame, gather
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS
 from bureauframe.plans.features import FeatureGroup
 from bureauframe.plans.rows import account_rows, enquiry_rows
-from bureauframe.session import tune
+from bureauframe.plans.scrub import Computation
+from bureauframe.session import tuned
 from bureauframe.sources import sinks, tables
 from bureauframe.sources.schemas import REFERENCE_DATE, RETRO_KEYS
 
@@ -36,9 +39,22 @@ def enquiry_features(
     groups: Sequence[FeatureGroup] = ENQUIRY_GROUPS,
     dedup_on: list[str] | None = None,
 ) -> DataFrame:
-    """One row per resolved reference with at least one enquiry up to it."""
-    found = asof.retro_enquiries(enquiry, resolved, master, dedup_on)
-    return feature_frame(enquiry_rows(found, RETRO_KEYS, REFERENCE_DATE), RETRO_KEYS, groups)
+    """One row per resolved reference with at least one enquiry up to it. With `dedup_on` each
+    enquiry is looked at by itself, otherwise equal ones of a party are counted together first."""
+    if dedup_on:
+        found = asof.retro_enquiries(enquiry, resolved, master, dedup_on)
+        return feature_frame(enquiry_rows(found, RETRO_KEYS, REFERENCE_DATE), RETRO_KEYS, groups)
+    found = asof.weighted_retro_enquiries(enquiry, resolved, master)
+    rows = enquiry_rows(found, [*RETRO_KEYS, asof.WEIGHT], REFERENCE_DATE)
+    return feature_frame(rows, RETRO_KEYS, groups, weight=asof.WEIGHT)
+
+
+@dataclass(frozen=True)
+class RetroReport:
+    """References asked for, and those without a delivery in their window (see `unmatched`)."""
+
+    references: int
+    unmatched: int
 
 
 def run(
@@ -50,13 +66,30 @@ def run(
     tradeline_sink: str,
     enquiry_sink: str,
     window_months: int = asof.SNAPSHOT_WINDOW_MONTHS,
-) -> None:
-    """Both feature tables for a list of references, replacing earlier results."""
-    tune(spark)
+    computation: Computation = Computation(),
+    dedup_on: list[str] | None = None,
+    unmatched_sink: str | None = None,
+) -> RetroReport:
+    """Both feature tables for a list of references, replacing earlier results. References without
+    a delivery go to `unmatched_sink`, if one is named."""
     parties = tables.read_master(spark, master)
     wanted = asof.reference_keys(tables.read_references(spark, references))
-    resolved = asof.resolve_snapshots(wanted, parties, window_months)
-    accounts = tables.read_tradeline(spark, tradeline)
-    sinks.write_overwrite(tradeline_features(accounts, resolved), tradeline_sink)
-    enquiries = tables.read_enquiry(spark, enquiry)
-    sinks.write_overwrite(enquiry_features(enquiries, resolved, parties), enquiry_sink)
+    resolved = asof.resolve_snapshots(wanted, parties, window_months).persist(StorageLevel.DISK_ONLY)
+    try:
+        with tuned(spark):
+            accounts = tables.read_tradeline(spark, tradeline)
+            features = tradeline_features(
+                accounts, resolved, computation.account_groups, computation.strict
+            )
+            sinks.write_overwrite(features, tradeline_sink)
+            enquiries = tables.read_enquiry(spark, enquiry)
+            features = enquiry_features(
+                enquiries, resolved, parties, computation.enquiry_groups, dedup_on
+            )
+            sinks.write_overwrite(features, enquiry_sink)
+            unmatched = asof.unmatched_references(wanted, resolved)
+            if unmatched_sink:
+                sinks.write_overwrite(unmatched, unmatched_sink)
+            return RetroReport(wanted.count(), unmatched.count())
+    finally:
+        resolved.unpersist()

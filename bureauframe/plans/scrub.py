@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureauframe.functions.dates import parse_date
 from bureauframe.operators.aggregate import feature_frame, gather
-from bureauframe.operators.asof import attach_party, party_map
-from bureauframe.operators.incremental import delivered_dates, pending_dates, written_dates
+from bureauframe.operators.asof import attach_party, party_map, scrub_enquiries
+from bureauframe.operators.incremental import mark_done, source_dates, written_dates
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS
 from bureauframe.plans.features import FeatureGroup
 from bureauframe.plans.rows import account_rows, enquiry_rows
-from bureauframe.session import tune
+from bureauframe.session import tuned
 from bureauframe.sources import sinks, tables
 from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, SCRUB_DATE
 
@@ -54,17 +53,15 @@ def enquiry_features(
 ) -> DataFrame:
     """One row per customer of the delivery with at least one enquiry up to it.
 
-    Enquiries are aggregated before they meet the customers of the delivery: both sides then hold
-    one row per customer, whatever the number of enquiries behind it.
+    Keys belong to a delivery: the semi-join drops the enquiries of all others before anything is
+    aggregated. Its right side has one row per key, so adaptive execution can split a hot key.
     """
     day = F.lit(scrub_date).cast("date")
-    known = enquiry.filter(parse_date("inq_date") <= day).withColumn(SCRUB_DATE, day)
+    known = scrub_enquiries(enquiry, tradeline, scrub_date)
     features = feature_frame(
         enquiry_rows(known, [CUSTOMER_KEY], SCRUB_DATE), [CUSTOMER_KEY], groups
     )
-    customers = tradeline.filter(F.col(SCRUB_DATE) == day).select(CUSTOMER_KEY).distinct()
-    present = features.join(customers, CUSTOMER_KEY, "left_semi")
-    with_party = attach_party(present, party_map(master))
+    with_party = attach_party(features, party_map(master))
     names = [c for c in features.columns if c != CUSTOMER_KEY]
     return with_party.select(CUSTOMER_KEY, PARTY, day.alias(SCRUB_DATE), *names)
 
@@ -80,29 +77,44 @@ class ScrubTables:
     enquiry_sink: str
 
 
-def run_date(spark: SparkSession, names: ScrubTables, date: str, force: bool = False) -> list[str]:
-    """Compute one delivery. Each sink that already has the date is skipped unless forced.
-    Returns the sinks written."""
+@dataclass(frozen=True)
+class Computation:
+    """What a run computes: feature groups of both sources, and whether look-ahead is closed."""
+
+    account_groups: Groups = ACCOUNT_GROUPS
+    enquiry_groups: Groups = ENQUIRY_GROUPS
+    strict: bool = False
+
+
+@dataclass
+class ScrubReport:
+    """Deliveries computed, oldest first, and for each the sinks written and skipped."""
+
+    dates: list[str] = field(default_factory=list)
+    written: dict[str, list[str]] = field(default_factory=dict)
+    skipped: dict[str, list[str]] = field(default_factory=dict)
 
-    def missing(sink: str) -> bool:
-        day = F.lit(date).cast("date")
-        return force or written_dates(spark, sink).filter(F.col(SCRUB_DATE) == day).isEmpty()
 
-    tune(spark)
+def _compute(
+    spark: SparkSession, names: ScrubTables, date: str, todo: Sequence[str], what: Computation
+) -> None:
     master = tables.read_master(spark, names.master)
-    written = []
-    if missing(names.tradeline_sink):
-        accounts = tables.read_tradeline(spark, names.tradeline, date)
-        sinks.write_append(tradeline_features(accounts, master), names.tradeline_sink, SCRUB_DATE)
-        written.append(names.tradeline_sink)
-    if missing(names.enquiry_sink):
-        accounts = tables.read_tradeline(spark, names.tradeline, date)
+    accounts = tables.read_tradeline(spark, names.tradeline, date)
+    if names.tradeline_sink in todo:
+        features = tradeline_features(accounts, master, what.account_groups, what.strict)
+        sinks.write_append(features, names.tradeline_sink, SCRUB_DATE)
+    if names.enquiry_sink in todo:
         enquiries = tables.read_enquiry(spark, names.enquiry)
-        features = enquiry_features(enquiries, accounts, master, date)
+        features = enquiry_features(enquiries, accounts, master, date, what.enquiry_groups)
         sinks.write_append(features, names.enquiry_sink, SCRUB_DATE)
-        written.append(names.enquiry_sink)
-    log.info("delivery %s: wrote %s", date, written or "nothing")
-    return written
+    for sink in todo:
+        if date not in _written(spark, sink):
+            mark_done(spark, sink, date)
+
+
+def _written(spark: SparkSession, sink: str) -> set[str]:
+    """One date a delivery, from the sink's partitions."""
+    return {str(row[SCRUB_DATE]) for row in written_dates(spark, sink).collect()}
 
 
 def run(
@@ -111,25 +123,38 @@ def run(
     what: str = "ALL",
     start: str | None = None,
     end: str | None = None,
-) -> list[str]:
-    """Dispatch: a date, ALL (pending only), FULL (everything again) or RANGE (pending from start
-    to end). Deliveries run one after another, oldest first, and a failure stops the run; written
-    ones stay and the next run resumes. Returns the dates computed.
+    force: bool = False,
+    computation: Computation = Computation(),
+) -> ScrubReport:
+    """Dispatch: a date, ALL (pending only), FULL (everything again) or RANGE (start to end).
 
-    Only the list of dates, one per delivery, reaches the driver.
+    A sink that has a delivery is skipped, unless `force` (or FULL) has it computed again.
+    Deliveries run one after another, oldest first, and a failure stops the run; written ones stay
+    and the next run resumes. A delivery that gives a sink no rows is marked as done beside it.
+
+    Dates come from partition metadata, listed once a run. Only they, one a delivery, reach the
+    driver.
     """
-    if what not in ("ALL", "FULL", "RANGE"):
-        run_date(spark, names, what)
-        return [what]
     if what == "RANGE" and not (start and end):
         raise ValueError("RANGE needs start and end")
-
-    delivered = delivered_dates(tables.read_tradeline(spark, names.tradeline))
-    done = [written_dates(spark, s) for s in (names.tradeline_sink, names.enquiry_sink)]
-    dates = pending_dates(delivered, [] if what == "FULL" else done)
-    if what == "RANGE":
-        dates = dates.filter(F.col(SCRUB_DATE).between(start, end))
-    todo = [str(row[SCRUB_DATE]) for row in dates.collect()]
-    for date in todo:
-        run_date(spark, names, date, force=what == "FULL")
-    return todo
+    force = force or what == "FULL"
+    targets = (names.tradeline_sink, names.enquiry_sink)
+    done = {sink: _written(spark, sink) for sink in targets}
+    if what in ("ALL", "FULL", "RANGE"):
+        delivered = source_dates(spark, names.tradeline).orderBy(SCRUB_DATE)
+        if what == "RANGE":
+            delivered = delivered.filter(F.col(SCRUB_DATE).between(start, end))
+        dates = [str(row[SCRUB_DATE]) for row in delivered.collect()]
+        dates = [d for d in dates if force or any(d not in done[sink] for sink in targets)]
+    else:
+        dates = [what]
+    report = ScrubReport()
+    with tuned(spark):
+        for date in dates:
+            todo = [sink for sink in targets if force or date not in done[sink]]
+            _compute(spark, names, date, todo, computation)
+            report.dates.append(date)
+            report.written[date] = todo
+            report.skipped[date] = [sink for sink in targets if sink not in todo]
+            log.info("delivery %s: wrote %s", date, todo or "nothing")
+    return report

@@ -23,7 +23,7 @@ def _lookup(codes: list[str], alias: str) -> str:
 
 _PRODUCTS = _lookup(
     ["123", "242", "5", "191", "195", "47", "189", "184",
-     "167", "245", "220", "58", "243", "173", "999", "177"],
+     "167", "245", "220", "58", "243", "173", "999", "177", "219", "PL9"],
     "p",
 )
 _LENDERS = _lookup(["NBF", "PVT", "PUB", "MFI", "HFC", "SFB", "FOR", " pvt "], "l")
@@ -102,7 +102,7 @@ def accounts_from(orders: str = "orders") -> str:
         f"FROM {orders} CROSS JOIN {_SCRUBS}"
     )
     return (
-        f"({base}) b JOIN {_PRODUCTS} ON (ok+ck)%16 = p.i "
+        f"({base}) b JOIN {_PRODUCTS} ON (ok+ck)%18 = p.i "
         f"JOIN {_LENDERS} ON CAST(amt AS BIGINT)%8 = l.i"
     )
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from bureauframe.operators.checks import duplicate_keys
 from bureauframe.operators.frames import distinct_columns
-from bureauframe.sources.tables import is_path, read_source
+from bureauframe.session import shared_folder
+from bureauframe.sources.tables import is_path, partition_columns, read_source, replace_path
 
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -36,33 +38,72 @@ def _save(writer: DataFrameWriter, target: str) -> None:
     writer.parquet(target) if is_path(target) else writer.format("parquet").saveAsTable(target)
 
 
-def write_append(df: DataFrame, target: str, partition: str | None = None) -> None:
+def _check_columns(spark: SparkSession, df: DataFrame, target: str, evolve: bool) -> None:
+    """A sink keeps its columns: what the frame has and the sink lacks would vanish, what it lacks
+    would be NULL. `evolve` adds new columns to a catalog table instead."""
+    have = read_source(spark, target).schema
+    known = {f.name.lower() for f in have}
+    extra = [f for f in df.schema if f.name.lower() not in known]
+    missing = sorted(known - {c.lower() for c in df.columns})
+    if evolve and extra and not is_path(target):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
+        extra = []
+    if extra or missing:
+        raise ValueError(
+            f"columns of {target} differ: new {[f.name for f in extra]}, missing {missing}"
+        )
+    kinds = {f.name.lower(): f.dataType for f in have}
+    changed = [f.name for f in df.schema if kinds.get(f.name.lower(), f.dataType) != f.dataType]
+    if changed:
+        raise ValueError(f"types of {target} differ: {changed}")
+
+
+def write_append(
+    df: DataFrame, target: str, partition: str | None = None, evolve: bool = False
+) -> None:
     """Replace exactly the partitions present in `df`; rerunning a date leaves the others alone.
-    Without a partition column the rows are appended."""
-    if partition is None or partition not in df.columns:
-        _save(distinct_columns(df).write.mode("append"), target)
-        return
-    out = _prepare(df, partition)
+    Without a partition column the rows are appended. A sink that is there must have the columns of
+    `df`; with `evolve` a catalog table gets those it lacks."""
     spark = df.sparkSession
-    if is_path(target) or not exists(spark, target):
+    partition = partition if partition in df.columns else None
+    out = _prepare(df, partition)
+    present = exists(spark, target)
+    if present:
+        _check_columns(spark, out, target, evolve)
+    if partition is None:
+        _save(out.write.mode("append"), target)
+    elif is_path(target) or not present:
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         _save(writer.partitionBy(partition), target)
-        return
-    # An existing catalog table keeps its definition: insert by position into its own order.
-    before = spark.conf.get(_MODE)
-    spark.conf.set(_MODE, "dynamic")
-    try:
-        out.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(_MODE, before)
+    else:
+        # An existing catalog table keeps its definition: insert by position into its own order.
+        before = spark.conf.get(_MODE)
+        spark.conf.set(_MODE, "dynamic")
+        try:
+            out.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(_MODE, before)
+
+
+def _write_whole(df: DataFrame, target: str, partitions: Sequence[str]) -> None:
+    """Replace a sink. The new data is written beside it and takes its place when complete, so a
+    failure leaves the old sink."""
+    spark = df.sparkSession
+    beside = f"{target.rstrip('/')}__{os.urandom(6).hex()}"
+    writer = df.write.partitionBy(*partitions) if partitions else df.write
+    _save(writer, beside)
+    if is_path(target):
+        replace_path(spark, beside, target)
+        spark.catalog.refreshByPath(target)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {target}")
 
 
 def write_overwrite(df: DataFrame, target: str, partition: str | None = None) -> None:
     partition = partition if partition in df.columns else None
-    writer = _prepare(df, partition).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    )
-    _save(writer.partitionBy(partition) if partition else writer, target)
+    _write_whole(_prepare(df, partition), target, [partition] if partition else [])
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,37 +118,38 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return untouched.unionByName(new, allowMissingColumns=True)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; only a session without one (tests) gets its own."""
-    if spark.sparkContext.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="bureauframe-"))
-
-
 def write_merge(
     df: DataFrame, target: str, keys: Sequence[str], partition: str | None = None
 ) -> None:
-    """Upsert into a target, created if absent.
+    """Upsert into a target, created if absent, which keeps its partition folders.
 
-    Parquet cannot be rewritten while it is read, so the merged rows are first made durable in the
-    checkpoint folder. With a partition column only the partitions of `df` are read and replaced;
-    keys must then lie within a partition.
+    Keys of `df` must be unique, as in SQL MERGE. With a partition column only the partitions of
+    `df` are read and replaced, so it must be one of the keys: a row cannot move. Parquet cannot be
+    rewritten while it is read; the merged rows are first made durable in the checkpoint folder.
     """
+    if partition and partition not in keys:
+        raise ValueError(f"merge by partition needs {partition!r} among the keys {list(keys)}")
     spark = df.sparkSession
-    new = distinct_columns(df)
+    new = _prepare(df, partition)
+    doubled = [r.asDict() for r in duplicate_keys(new, keys).limit(3).collect()]
+    if doubled:
+        raise ValueError(f"keys that occur more than once, for example {doubled}")
     if not exists(spark, target):
         write_overwrite(new, target, partition)
         return
-    _ensure_checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     old = read_source(spark, target)
     if partition:
         old = old.join(new.select(partition).distinct(), partition, "left_semi")
     merged = upsert(old, new, keys).checkpoint()
-    if partition:
+    if partition and set(merged.columns) == set(old.columns):
         write_append(merged, target, partition)
+    elif partition:
+        rest = read_source(spark, target).join(new.select(partition).distinct(), partition, "left_anti")
+        _write_whole(rest.unionByName(merged, allowMissingColumns=True), target, [partition])
     else:
-        write_overwrite(merged, target)
+        _write_whole(merged, target, partition_columns(spark, target))
 
 
 def write(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bureauframe.plans.companions import COMPANIONS
 from bureauframe.sources import derived
 from oracle import rows
+from oracle.companions import COMPANIONS
 from oracle.groups import ACCOUNT_GROUPS, ENQUIRY_GROUPS, real
 from oracle.rows import CC
 
@@ -68,8 +68,10 @@ def per_account(columns: dict[str, str]) -> str:
 
 
 def _date_texts() -> str:
-    """Order dates written in each accepted format by remainder, the last one being no date."""
+    """Order dates written in each accepted format by remainder, the last one being no date. Texts
+    of which a day and a month read either way are told apart by the order of formats."""
     y, m, d = (f"CAST({part}(o_orderdate) AS STRING)" for part in ("year", "month", "day"))
+    short_m, short_d = m, d
     m, d = f"lpad({m}, 2, '0')", f"lpad({d}, 2, '0')"
     texts = [
         f"{d} || '/' || {m} || '/' || {y}",
@@ -83,9 +85,18 @@ def _date_texts() -> str:
         f"{y} || '-' || {m} || '-' || {d} || 'T01:02:03'",
         f"{y} || '-' || {m} || '-' || {d} || ' 01:02:03'",
         f"{m} || '/' || {d} || '/' || {y}",
+        f"{short_d} || '/' || {short_m} || '/' || {y}",
+        f"{short_d} || '-' || {short_m} || '-' || {y} || ' x'",
+        f"{y} || '/' || {short_m} || '/' || {short_d}",
+        f"' ' || {y} || '-' || {m} || '-' || {d}",
+        f"{y} || '-' || {m} || '-' || {d} || 'T22:00:00.000-05:00'",
+        f"{y} || '-' || {m} || '-' || {d} || 'T02:00:00+05:30'",
+        f"{y} || '-' || {m} || '-' || {d} || ' 01:02:03.5'",
+        f"{d} || '/' || {m} || '/' || {y} || ' 10:00'",
+        f"{y} || '-' || {m} || '-' || {d} || 'x'",
     ]
     branches = " ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(texts))
-    return f"CASE o_orderkey % 12 {branches} ELSE 'no date' END"
+    return f"CASE o_orderkey % {len(texts) + 1} {branches} ELSE 'no date' END"
 
 
 def date_text_sql(orders: str = "orders") -> str:
@@ -174,6 +185,38 @@ def _masked() -> str:
     return f"SELECT customer_scrub_key, scrub_output_date, {masked} FROM ({wide})"
 
 
+def _own_group():
+    return {
+        "open_cards": f"count(*) FILTER (WHERE live AND {CC})",
+        "products": "count(DISTINCT a)",
+    }, {}
+
+
+def _long(sql: str, groups) -> str:
+    """Every feature as text, as Spark writes it: doubles with a point or an exponent."""
+    aggregates, post = _merged(groups)
+    names = [*aggregates, *post]
+    items = ", ".join(f"struct_pack(f := '{x}', v := CAST({x} AS VARCHAR)) " for x in names)
+    return (
+        "SELECT customer_scrub_key, party_code, scrub_output_date, u.f AS feature, u.v AS value "
+        f"FROM (SELECT *, unnest([{items}]) AS u FROM ({sql}) WHERE "
+        f"scrub_output_date = DATE '{LATER}' AND customer_scrub_key = ({_FIRST}))"
+    )
+
+
+_FIRST = (
+    f"SELECT min(customer_scrub_key) FROM ({rows.SCRUB_ENQUIRIES}) "
+    f"WHERE ref_day = DATE '{LATER}'"
+)
+
+
+def _listing() -> str:
+    return (
+        f"{_long(scrub_accounts(*ACCOUNT_GROUPS.values()), ACCOUNT_GROUPS.values())} UNION ALL "
+        f"{_long(scrub_enquiries(), ENQUIRY_GROUPS.values())}"
+    )
+
+
 def statements() -> dict[str, str]:
     tradeline, enquiry = derived.tradeline_sql(), derived.enquiry_sql()
     master, references = derived.master_sql(), derived.references_sql()
@@ -199,6 +242,18 @@ def statements() -> dict[str, str]:
         f"FROM ({rows.RETRO_ENQUIRIES}) WHERE {rows.day('inq_date')} <= ref_day",
         "wide_tradeline": scrub_accounts(*ACCOUNT_GROUPS.values()),
         "wide_enquiry": scrub_enquiries(),
+        "scrub_run_enquiry": scrub_enquiries(),
+        "own_group_run": scrub_accounts(_own_group),
+        "retro_run_tradeline": retro_accounts(*ACCOUNT_GROUPS.values()),
+        "retro_run_unmatched": f"WITH {rows.resolved()} SELECT DISTINCT party_code, reference_dt "
+        f"FROM ({references}) f WHERE NOT EXISTS (SELECT 1 FROM resolved z "
+        "WHERE z.party_code = f.party_code AND z.reference_dt = f.reference_dt)",
+        "catalog_append": "SELECT customer_scrub_key, scrub_output_date, n, "
+        f"CASE WHEN scrub_output_date = DATE '{LATER}' THEN closed END AS closed FROM ({_N})",
+        "merge_layout": "SELECT customer_scrub_key, scrub_output_date, "
+        f"CASE WHEN closed > 2 THEN -n ELSE n END AS n, closed FROM ({_N})",
+        "rows_per_sink_date": f"SELECT scrub_output_date, count(*) AS n FROM ({_N}) GROUP BY 1",
+        "customer_listing": _listing(),
         "wide_retro": retro_accounts(*ACCOUNT_GROUPS.values()),
         "wide_retro_enquiry": retro_enquiries(),
         "scrub_run": scrub_accounts(*ACCOUNT_GROUPS.values()),
@@ -228,6 +283,8 @@ def statements() -> dict[str, str]:
         "FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey",
     }
     out |= {name: scrub_accounts(group) for name, group in ACCOUNT_GROUPS.items()}
-    out |= {"grp12_enquiries": scrub_enquiries()}
+    out["grp12_enquiries"] = (
+        f"SELECT * FROM ({scrub_enquiries()}) WHERE scrub_output_date = DATE '{LATER}'"
+    )
     out |= {name: per_account(columns) for name, columns in ROW_QUERIES.items()}
     return out

@@ -9,13 +9,11 @@ from bureauframe.sources import derived
 
 SCRUB_DATES = derived.SCRUB_DATES
 
-# Strptime spellings of the accepted date formats, in order of precedence.
-STRPTIME = (
-    "%d/%m/%Y", "%Y-%m-%d", "%d-%m-%Y", "%Y/%m/%d", "%Y%m%d",
-    "%Y-%m-%dT%H:%M:%S.%g%z", "%Y-%m-%dT%H:%M:%S.%gZ", "%Y-%m-%dT%H:%M:%S.%g",
-    "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%m/%d/%Y",
-)
+# Strptime spellings of the plain date formats, in order of precedence. A time of day
+# or other text after the date is not read.
+STRPTIME = ("%d/%m/%Y", "%Y-%m-%d", "%d-%m-%Y", "%Y/%m/%d", "%Y%m%d", "%m/%d/%Y")
 
+# Product codes.
 CC = "a IN ('5', '213', '214', '220', '224', '225')"
 GL = "a IN ('191', '243')"
 AL = "a IN ('47', '173', '172', '221', '222', '223', '246')"
@@ -35,7 +33,8 @@ PL, STPL, CL = "a = '123'", "a = '242'", "a = '189'"
 
 
 def day(text: str) -> str:
-    tries = ", ".join(f"try_strptime({text}, '{f}')::DATE" for f in STRPTIME)
+    lead = f"regexp_extract({text}, '^[ \\t]*([0-9]+[-/][0-9]+[-/][0-9]+|[0-9]+)', 1)"
+    tries = ", ".join(f"try_strptime({lead}, '{f}')::DATE" for f in STRPTIME)
     return f"coalesce({tries})"
 
 

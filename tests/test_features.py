@@ -3,7 +3,7 @@ import datetime as dt
 from accounts import AS_OF, KEYS, features, frame
 from bureauframe.operators.aggregate import feature_frame, gather
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS, GROUPS
-from bureauframe.plans.features import ACCOUNT, FeatureGroup, count
+from bureauframe.plans.features import ACCOUNT, FeatureGroup, count, distinct
 from bureauframe.plans.rows import account_rows
 from bureauframe.sources.schemas import TRADELINE, history_columns
 
@@ -118,10 +118,20 @@ def test_gathering_does_not_change_results(spark):
 def test_partial_aggregation_comes_before_the_shuffle(spark):
     df = account_rows(frame(spark, {}), KEYS, KEYS[1])
     plan = feature_frame(df, KEYS, ACCOUNT_GROUPS)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    # The wide rows are shuffled once; values beyond the code book are counted by two narrow ones.
+    assert plan.count("Exchange hashpartitioning") == 3
     assert plan.index("partial_") > plan.index("Exchange hashpartitioning")
 
 
+def test_distinct_values_beyond_the_listed_ones(spark):
+    codes = ["123", "5", "5", " 123", "odd", "odd", "0123", "", None]
+    rows = [{"customer_scrub_key": k, "acct_type_cd": c} for k in ("C1", None) for c in codes]
+    for listed in ((), ("5", "123"), ("5",)):
+        group = FeatureGroup("mine", ACCOUNT, (distinct("n", "acct", listed=listed),))
+        got = features(spark, *rows, groups=[group])
+        assert {k: r.n for k, r in got.items()} == {"C1": 5, None: 5}
+
+
 def test_own_group(spark):
     group = FeatureGroup("mine", ACCOUNT, (count("n_big", "amt > 50000"),))
     assert features(spark, {}, {"orig_loan_am": 1.0}, groups=[group])["C1"].n_big == 1

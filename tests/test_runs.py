@@ -1,12 +1,16 @@
 import datetime as dt
+import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from bureauframe.operators import asof, frames, incremental
 from bureauframe.plans import retro, scrub
 from bureauframe.plans.catalogue import GROUPS
+from bureauframe.session import tune
 from bureauframe.sources import derived, sinks
 from bureauframe.sources.schemas import SCRUB_DATE, TRADELINE, require_columns
+from bureauframe.sources.tables import partition_columns, read_source
 
 EARLIER, LATER = derived.SCRUB_DATES
 
@@ -85,10 +89,7 @@ def inputs(spark, sf, tmp_path_factory):
     return root
 
 
-def test_run_modes(spark, inputs, tmp_path, monkeypatch):
-    small = [GROUPS["grp01_portfolio_counts"]]
-    full = scrub.tradeline_features
-    monkeypatch.setattr(scrub, "tradeline_features", lambda t, m: full(t, m, small))
+def test_run_modes(spark, inputs, tmp_path):
     names = scrub.ScrubTables(
         f"{inputs}/tradeline",
         f"{inputs}/enquiry",
@@ -96,16 +97,144 @@ def test_run_modes(spark, inputs, tmp_path, monkeypatch):
         str(tmp_path / "tl"),
         str(tmp_path / "enq"),
     )
-    assert scrub.run(spark, names, "RANGE", "2023-01-01", "2023-12-31") == [EARLIER]
-    assert scrub.run(spark, names, "ALL") == [LATER]
-    assert scrub.run(spark, names, "ALL") == []
-    assert scrub.run_date(spark, names, LATER) == []
-    first = rows(spark.read.parquet(names.tradeline_sink).select("customer_scrub_key", "tot_pls"))
-    assert scrub.run(spark, names, "FULL") == [EARLIER, LATER]
-    again = rows(spark.read.parquet(names.tradeline_sink).select("customer_scrub_key", "tot_pls"))
-    assert first == again
+    small = scrub.Computation(account_groups=(GROUPS["grp01_portfolio_counts"],))
+
+    def run(*what, **options):
+        return scrub.run(spark, names, *what, computation=small, **options)
+
+    def totals():
+        return rows(spark.read.parquet(names.tradeline_sink).select("customer_scrub_key", "tot_pls"))
+
+    assert run("RANGE", "2023-01-01", "2023-12-31").dates == [EARLIER]
+    assert run("ALL").dates == [LATER]
+    assert run("ALL").dates == []
+    both = [names.tradeline_sink, names.enquiry_sink]
+    again = run(LATER)
+    assert again.written == {LATER: []} and again.skipped == {LATER: both}
+    first = totals()
+    assert run("FULL").dates == [EARLIER, LATER]
+    forced = run("RANGE", EARLIER, EARLIER, force=True)
+    assert forced.written == {EARLIER: both} and totals() == first
     with pytest.raises(ValueError, match="start"):
-        scrub.run(spark, names, "RANGE")
+        run("RANGE")
+
+
+def test_one_sink_present_and_one_absent(spark, inputs, tmp_path):
+    names = scrub.ScrubTables(*(f"{inputs}/{n}" for n in ("tradeline", "enquiry", "master")),
+                              str(tmp_path / "tl"), str(tmp_path / "enq"))
+    small = scrub.Computation((GROUPS["grp04_bureau_vintage"],))
+    scrub.run(spark, names, EARLIER, computation=small)
+    before = sorted((tmp_path / "tl").rglob("*.parquet"))
+    shutil.rmtree(tmp_path / "enq")
+    report = scrub.run(spark, names, EARLIER, computation=small)
+    assert report.written == {EARLIER: [names.enquiry_sink]}
+    assert report.skipped == {EARLIER: [names.tradeline_sink]}
+    assert sorted((tmp_path / "tl").rglob("*.parquet")) == before
+    assert scrub.run(spark, names, "ALL", computation=small).dates == [LATER]
+
+
+def test_delivery_without_enquiries_is_done_once(spark, inputs, tmp_path):
+    empty = str(tmp_path / "no_enquiries")
+    spark.read.parquet(f"{inputs}/enquiry").limit(0).write.parquet(empty)
+    names = scrub.ScrubTables(f"{inputs}/tradeline", empty, f"{inputs}/master",
+                              str(tmp_path / "tl"), str(tmp_path / "enq"))
+    small = scrub.Computation((GROUPS["grp04_bureau_vintage"],))
+    assert scrub.run(spark, names, "ALL", computation=small).dates == [EARLIER, LATER]
+    assert scrub.run(spark, names, "ALL", computation=small).dates == []
+
+
+def test_pending_dates_come_from_metadata(spark, inputs):
+    plan = incremental.source_dates(spark, f"{inputs}/tradeline")
+    assert [str(r[0]) for r in plan.orderBy(SCRUB_DATE).collect()] == [EARLIER, LATER]
+    assert "FileScan" not in plan._jdf.queryExecution().toString()
+
+
+def test_runs_leave_the_session_as_it_was(spark, inputs, tmp_path):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, "12345")
+    names = scrub.ScrubTables(*(f"{inputs}/{n}" for n in ("tradeline", "enquiry", "master")),
+                              str(tmp_path / "tl"), str(tmp_path / "enq"))
+    scrub.run(spark, names, EARLIER, computation=scrub.Computation((GROUPS["grp04_bureau_vintage"],)))
+    assert spark.conf.get(key) == "12345"
+    tune(spark)
+
+
+def test_sinks_refuse_to_lose_columns(spark, tmp_path):
+    df = spark.createDataFrame([("a", EARLIER, 1)], "k string, d string, v int")
+    wider = df.selectExpr("*", "v AS w")
+    for target in (str(tmp_path / "sink"), "sink_columns"):
+        for partition in ("d", None):
+            name = f"{target}_{partition}"
+            sinks.write_append(df, name, partition)
+            with pytest.raises(ValueError, match="w"):
+                sinks.write_append(wider, name, partition)
+            with pytest.raises(ValueError, match="missing"):
+                sinks.write_append(df.drop("v"), name, partition)
+            with pytest.raises(ValueError, match="types"):
+                sinks.write_append(df.withColumn("v", df.v.cast("string")), name, partition)
+            assert rows(read_source(spark, name).select("k", "v")) == [("a", 1)]
+    sinks.write_append(wider, "sink_columns_d", "d", evolve=True)
+    assert rows(spark.table("sink_columns_d").select("k", "v", "w")) == [("a", 1, 1)]
+    for partition in ("d", None):
+        spark.sql(f"DROP TABLE sink_columns_{partition}")
+
+
+def test_merge_errors_and_layout(spark, tmp_path):
+    target = str(tmp_path / "sink")
+    old = spark.createDataFrame([(1, EARLIER, 1), (2, LATER, 2)], "k int, d string, v int")
+    sinks.write(old, target, "merge", "d", ["k", "d"])
+    with pytest.raises(ValueError, match="among the keys"):
+        sinks.write(old, target, "merge", "d", ["k"])
+    with pytest.raises(ValueError, match="more than once"):
+        sinks.write(old.unionByName(old), target, "merge", "d", ["k", "d"])
+    moved = spark.createDataFrame([(1, LATER, 5), (3, LATER, 6)], "k int, d string, v int")
+    sinks.write(moved.withColumn("d", moved.d.cast("date")), target, "merge", keys=["k"])
+    assert partition_columns(spark, target) == ["d"]
+    got = spark.read.parquet(target).selectExpr("k", "CAST(d AS STRING) AS d", "v")
+    assert rows(got) == [(1, LATER, 5), (2, LATER, 2), (3, LATER, 6)]
+
+
+def test_a_failed_overwrite_keeps_the_old_sink(spark, tmp_path):
+    target = str(tmp_path / "sink")
+    sinks.write_overwrite(spark.range(3), target)
+    with pytest.raises(Exception, match="stop here"):
+        sinks.write_overwrite(spark.range(9).selectExpr("raise_error('stop here') AS id"), target)
+    assert spark.read.parquet(target).count() == 3
+
+
+def test_retro_scan_is_pruned_by_resolved_deliveries(spark, inputs):
+    wanted = asof.reference_keys(spark.read.parquet(f"{inputs}/references"))
+    resolved = asof.resolve_snapshots(wanted, spark.read.parquet(f"{inputs}/master"))
+    resolved = resolved.filter(f"{SCRUB_DATE} = DATE '{LATER}'")
+    plan = asof.retro_tradeline(spark.read.parquet(f"{inputs}/tradeline"), resolved)
+    scan = next(x for x in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "tradeline" in x)
+    assert f"{SCRUB_DATE}" in scan.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert set(r[0] for r in plan.select(F.col(SCRUB_DATE).cast("string")).distinct().collect()) == {LATER}
+
+
+def test_only_the_deliverys_keys_are_aggregated(spark, inputs):
+    frame = scrub.enquiry_features(*(spark.read.parquet(f"{inputs}/{n}") for n in ("enquiry", "tradeline", "master")), LATER)
+    lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    wide = next(i for i, line in enumerate(lines) if "total_enquiries" in line and "Aggregate" in line)
+    assert wide < semi
+
+
+def test_weighted_enquiries_equal_single_ones(spark, inputs):
+    enquiry, master = (spark.read.parquet(f"{inputs}/{n}") for n in ("enquiry", "master"))
+    resolved = asof.resolve_snapshots(asof.reference_keys(spark.read.parquet(f"{inputs}/references")), master)
+    weighted = retro.enquiry_features(enquiry, resolved, master)
+    unique = [*enquiry.columns]
+    single = retro.enquiry_features(enquiry, resolved, master, dedup_on=unique)
+    assert weighted.exceptAll(single).isEmpty() and single.exceptAll(weighted).isEmpty()
+
+
+def test_wide_aggregation_uses_hash_aggregates_only(spark, inputs):
+    accounts = spark.read.parquet(f"{inputs}/tradeline")
+    frame = scrub.tradeline_features(accounts, spark.read.parquet(f"{inputs}/master"))
+    lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    # The party map takes the minimum of a text and is not part of the feature aggregation.
+    assert not [x for x in lines if "ObjectHashAggregate" in x or "SortAggregate" in x and "min(party_code" not in x]
 
 
 def test_retro_on_a_delivery_date_equals_scrub(spark, inputs):
