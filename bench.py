@@ -2,8 +2,11 @@
 
 The bureau tables are derived from the test tables and written once, outside the timing, so a query
 is timed from its parquet scan to its last row. `wide_*` are the full feature rows in one
-aggregation. With BENCH_COMPARE=1, `grouped_joins` also times the same account features as 16
-aggregations joined on their keys; it is not part of the total.
+aggregation, `wide_hot_key` over input in which one customer owns a third of all accounts. The
+comparison `grouped_joins` times the same account features as 16 aggregations joined on their keys,
+in one pass; it is not part of the total, and BENCH_COMPARE=0 leaves it out. The comparison also
+holds the bytes the wide aggregation shuffles with and without gathering, for accounts scattered
+over the input and for accounts clustered by customer.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ import os
 import tempfile
 import time
 
+from pyspark.sql import functions as F
+
 from bureauframe.operators import asof, frames
 from bureauframe.plans import retro, scrub
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, GROUPS
@@ -33,10 +38,16 @@ def main() -> None:
         if name == "tradeline":
             writer = writer.partitionBy(SCRUB_DATE)
         writer.parquet(f"{root}/{name}")
+    clustered = spark.read.parquet(f"{root}/tradeline").repartition(CUSTOMER_KEY)
+    clustered.sortWithinPartitions(CUSTOMER_KEY).write.parquet(f"{root}/clustered")
 
     def read(name: str):
         return spark.read.parquet(f"{root}/{name}")
 
+    def hot_key():
+        key = F.when(F.col("acct_id") % 3 == 0, F.lit("C0")).otherwise(F.col(CUSTOMER_KEY))
+        return scrub.tradeline_features(read("tradeline").withColumn(CUSTOMER_KEY, key), read("master"))
+
     def resolved():
         return asof.resolve_snapshots(asof.reference_keys(read("references")), read("master"))
 
@@ -56,6 +67,7 @@ def main() -> None:
 
     queries = {
         "wide_tradeline": lambda: scrub.tradeline_features(read("tradeline"), read("master")),
+        "wide_hot_key": hot_key,
         "wide_enquiry": enquiries,
         "wide_retro": lambda: retro.tradeline_features(read("tradeline"), resolved()),
         "wide_retro_enquiry": lambda: retro.enquiry_features(
@@ -69,14 +81,26 @@ def main() -> None:
         "grp09_obligations": lambda: one_group("grp09_obligations"),
     }
 
-    def timed(build) -> float:
+    def timed(build, passes: int = 2) -> float:
         best = float("inf")
-        for _ in range(2):  # the first pass also compiles
+        for _ in range(passes):  # the first pass also compiles
             start = time.perf_counter()
             build().write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - start)
         return round(best, 3)
 
+    def shuffled(form: str, gathered: bool) -> float:
+        """MB written to shuffles by the wide aggregation."""
+        accounts = read("tradeline" if form == "scattered" else "clustered")
+        before = written()
+        features = scrub.tradeline_features(accounts, read("master"), gathered=gathered)
+        features.write.format("noop").mode("overwrite").save()
+        return round(written() - before, 1)
+
+    def written() -> float:
+        executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size())) / 1e6
+
     seconds = {name: timed(build) for name, build in queries.items()}
     result = {
         "metric": "feature_rows_total",
@@ -85,8 +109,12 @@ def main() -> None:
         "queries": seconds,
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
     }
-    if os.environ.get("BENCH_COMPARE"):
-        result["comparison"] = {"grouped_joins": timed(grouped_joins)}
+    if os.environ.get("BENCH_COMPARE", "1") != "0":
+        result["comparison"] = {"grouped_joins": timed(grouped_joins, passes=1)} | {
+            f"shuffled_mb_{form}_{'gathered' if gathered else 'plain'}": shuffled(form, gathered)
+            for form in ("scattered", "clustered")
+            for gathered in (True, False)
+        }
     print(json.dumps(result))
 
 
