@@ -28,7 +28,7 @@ from bureauframe.llm.common import importable
 LEAF_CHARS = 8_192  #: longest piece that is encoded at once
 TASK_CHARS = 262_144  #: longer texts are cut into segments that are encoded by separate tasks
 WINDOW_TOKENS = 12  #: tokens on each side of a join that are encoded again at first
-CACHE_UNITS = 300_000  #: units whose ids a worker remembers; then it starts afresh
+CACHE_UNITS = 150_000  #: units whose ids a worker remembers; then it starts afresh
 CACHED_CHARS = 32  #: longer units are not remembered
 
 #: Rows handed to Python are regrouped so that this many characters are worked on at once.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from pathlib import Path
 
@@ -18,14 +19,28 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Bytes of a batch that goes to a Python worker. Texts may be very long, and the batch exists in
+#: the JVM, in the worker and as Python strings at once.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def importable(df: DataFrame) -> DataFrame:
-    """Let Python workers on this machine import the package from a checkout. A cluster ships it
-    with `--py-files` as usual; the extra entry does no harm there."""
+    """Make a session ready for Python stages over texts.
+
+    Workers on this machine can import the package from a checkout; a cluster ships it with
+    `--py-files` as usual, and the extra entry does no harm there. Batches are bounded by bytes:
+    the setting of the session is lowered, never raised.
+    """
+    spark = df.sparkSession
     root = str(Path(__file__).resolve().parents[2])
-    env = df.sparkSession.sparkContext.environment
+    env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if root not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [have, root]))
+    limit = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH))
+    if limit and int(limit[1]) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     return df
 
 
