@@ -115,6 +115,19 @@ def test_gathering_does_not_change_results(spark):
     assert plain.count() == 9
 
 
+def test_a_hot_key_is_split_when_gathered(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "32k")
+    try:
+        rows = spark.range(60_000).selectExpr("'hot' AS k", "id", "uuid() AS wide")
+        tasks = gather(rows, ["k"]).selectExpr("spark_partition_id() AS p", "wide").groupBy("p")
+        spread = len(tasks.agg({"wide": "max"}).collect())  # a count would prune the column
+    finally:
+        spark.conf.set(key, before)
+    assert spread > 3
+
+
 def test_partial_aggregation_comes_before_the_shuffle(spark):
     df = account_rows(frame(spark, {}), KEYS, KEYS[1])
     plan = feature_frame(df, KEYS, ACCOUNT_GROUPS)._jdf.queryExecution().executedPlan().toString()
