@@ -49,9 +49,9 @@ def gather(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring the rows of a key together before a wide aggregation.
 
     With hundreds of aggregates a partial result is several times wider than an account row, so
-    where the accounts of a customer are scattered over the input, shuffling rows first and partial
-    results second moves far less. The exchange is a rebalance, which splits partitions that grow
-    too large: a key with a third of all rows is spread over many tasks and the following
+    where nearly every account of a customer is read by another task, shuffling rows first can move
+    less than partial results do; `bench.py` prints both. The exchange is a rebalance, which splits
+    partitions that grow too large: a key with a third of all rows is spread over many tasks and the following
     aggregation merges its parts. It runs on a hash of the keys because an exchange on the keys
     themselves would satisfy the aggregation and pin such a key to one task.
     """

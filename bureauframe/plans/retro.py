@@ -24,7 +24,7 @@ def tradeline_features(
     resolved: DataFrame,
     groups: Sequence[FeatureGroup] = ACCOUNT_GROUPS,
     strict: bool = False,
-    gathered: bool = True,
+    gathered: bool = False,
 ) -> DataFrame:
     """One row per resolved reference with at least one account in its delivery."""
     accounts = asof.retro_tradeline(tradeline, resolved)
