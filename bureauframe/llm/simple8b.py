@@ -32,29 +32,44 @@ WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
 
 
+_BITS = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    """Bit length of each id."""
+    out = _BITS[ids & np.uint64(0xFFFF)]
+    for shift in (16, 32, 48):
+        part = ids >> np.uint64(shift)
+        if not part.any():
+            break
+        part &= np.uint64(0xFFFF)
+        out = np.where(part != 0, _BITS[part] + np.uint8(shift), out)
+    return out
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the word at which each lane of LANE ids starts. Any unsigned 64-bit ids."""
     ids = np.ascontiguousarray(ids, np.uint64)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    widest = int(ids.max()).bit_length()
+    # Largest bit length of each run of 1, 2, 4, ... ids; two of them give any run.
+    runs = [_bits(ids)]
+    while 2 << (len(runs) - 1) <= min(n, COUNTS[0]):
+        half = 1 << (len(runs) - 1)
+        runs.append(np.maximum(runs[-1][:-half], runs[-1][half:]))
     # Selector of the word that would start at each id: the first (most ids) that fits.
     selector = np.full(n, ESCAPE, np.uint8)
-    left = LANE - np.arange(n) % LANE
-    left = np.minimum(left, n - np.arange(n))
+    left = (LANE - np.arange(n) % LANE).astype(np.int16)
     for s in range(len(COUNTS), 0, -1):
         count, width = COUNTS[s - 1], WIDTHS[s - 1]
-        if width >= widest:
-            fits = left >= count
-        else:
-            wide = np.zeros(n + 1, np.int32)
-            np.cumsum(ids >> np.uint64(width) != 0, out=wide[1:])
-            end = np.minimum(np.arange(n) + count, n)
-            fits = (wide[end] == wide[:-1]) & (left >= count)
-            if wide[-1] == n:
-                break
-        selector[fits] = s
+        if count > n:
+            break
+        level = count.bit_length() - 1
+        longest, size = runs[level], n - count + 1
+        most = np.maximum(longest[:size], longest[count - (1 << level) :][:size])
+        fits = (most <= width) & (left[:size] >= count)
+        selector[:size][fits] = s
     # Follow the words of all lanes at once.
     step = np.array([0, *COUNTS, 1], np.int64)
     at = np.arange(0, n, LANE)
