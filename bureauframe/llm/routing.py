@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from bureauframe.llm.common import durable, importable
 from bureauframe.llm.vectors import QUERY_STEP, TOP, best, is_query, matrix, usable
 
-SAMPLE = 6_144  #: rows the partitions are learned from, about
+SAMPLE = 6_144  #: rows the partitions are learned from, about, at least
+SAMPLE_A_PART = 24  #: and of these for each part, at least
 HELD_OUT = 1 / 3  #: of the sample, to measure recall
 NEIGHBOURS = 10
 ROWS_A_PART = 4_096
@@ -119,10 +120,13 @@ def train(x: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def fit(sample: np.ndarray, parts: int) -> Router:
-    """A router from sample rows, in any fixed order."""
+    """A router from sample rows, in any fixed order. Fewer parts if some would have under four rows
+    to learn from; a single one, hence exact search, if there are too few rows for PARTS[0]."""
     keep = np.random.default_rng(SEED).random(len(sample)) >= HELD_OUT
     x, test = sample[keep], sample[~keep]
     k = min(NEIGHBOURS, len(x) - 1)
+    while parts > PARTS[0] and len(x) < 4 * parts:
+        parts //= 2
     if k < 1 or len(test) <= TOP or len(x) < 4 * parts:
         d = sample.shape[1] if sample.size else 1
         return Router((np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)), 1, 1)
@@ -141,16 +145,17 @@ def fit(sample: np.ndarray, parts: int) -> Router:
 
 
 def learn(rows: DataFrame) -> tuple[Router, int]:
-    """A router for `rows` (vec_id, v) and their number. About SAMPLE rows, chosen by a hash of
-    vec_id, come to the driver; the bound does not grow with the table."""
+    """A router for `rows` (vec_id, v) and their number. About SAMPLE rows, or SAMPLE_A_PART for each
+    part if that is more, chosen by a hash of vec_id, come to the driver; PARTS bounds both."""
     total = rows.count()
-    rate = min(1.0, SAMPLE / max(1, total))
+    power = int(round(np.log2(max(1, total) / ROWS_A_PART)))
+    parts = min(PARTS[1], max(PARTS[0], 1 << max(0, power)))
+    rate = min(1.0, max(SAMPLE, SAMPLE_A_PART * parts) / max(1, total))
     chosen = F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(1 << 20)) < int(rate * (1 << 20))
     sample = rows.filter(chosen).toArrow()
     order = np.argsort(sample.column("vec_id").to_numpy(), kind="stable")
     x = matrix(sample.column("v"))[order]
-    power = int(round(np.log2(max(1, total) / ROWS_A_PART)))
-    return fit(x, min(PARTS[1], max(PARTS[0], 1 << max(0, power)))), total
+    return fit(x, parts), total
 
 
 def scored(queries: np.ndarray, ids: np.ndarray, x: np.ndarray, own: np.ndarray):

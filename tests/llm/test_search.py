@@ -128,3 +128,13 @@ def test_partition_is_balanced():
     sizes = np.bincount(label, minlength=4)
     assert sizes.max() <= np.ceil(routing.SLACK * 100)
     assert (label[graph] == label[:, None]).mean() > 0.9
+
+
+def test_parts_have_rows_to_learn_from(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2_048, 8))
+    assert routing.fit(x[:300], 128).parts == 32  # about 200 rows to learn from
+    monkeypatch.setattr(routing, "SAMPLE", 64)
+    monkeypatch.setattr(routing, "ROWS_A_PART", 64)
+    rows = routing.usable(frame(spark, list(enumerate(x.tolist()))), zero=False)
+    assert routing.learn(rows)[0].parts == 32
