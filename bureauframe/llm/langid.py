@@ -24,8 +24,9 @@ from bureauframe.llm.common import importable
 
 GRAM = 4  #: characters of an n-gram; the first or last may be the edge of a word
 SAMPLE_DOCS = 2_000  #: training documents of a language, about
-MAX_LANGUAGES = 256  #: the most frequent labels that are learned
 MIN_DOCS = 3  #: documents of a language that must hold an n-gram
+FEW_DOCS = 12  #: with fewer training documents, a share of MIN_DOCS in proportion, one at least
+BLOCK_COUNTS = 1 << 22  #: texts times languages counted at a time
 OWN_SHARE = 0.25  #: least frequency of an n-gram, against the language that uses it most
 SLOTS = 1 << 20  #: positions of a filter
 HASHES = 3
@@ -106,6 +107,10 @@ class Filters:
         """Language with the largest corrected count (ties: the smaller name) and the share of the
         n-grams that it knows. `und` and 0 for NULL or a text without letters, and for all texts if
         nothing was learned."""
+        step = max(1, BLOCK_COUNTS // max(1, len(self.languages)))
+        if len(texts) > step:
+            parts = [self.predict(texts[i : i + step]) for i in range(0, len(texts), step)]
+            return [n for p in parts for n in p[0]], [x for p in parts for x in p[1]]
         counts, sizes = self.counts([t or "" for t in texts])
         names, scores = [], []
         for row, size in zip(counts, sizes, strict=True):
@@ -122,24 +127,26 @@ def in_training(doc_id: str = "doc_id") -> Column:
 
 def learn(docs: DataFrame) -> Filters:
     """Filters from the training part of `docs`: doc_id, text, lang. Rows without text or label
-    teach nothing. What reaches the driver is bounded by MAX_LANGUAGES and SLOTS."""
+    teach nothing. What reaches the driver is SLOTS masks for each 64 labels."""
     labelled = importable(docs).select("doc_id", "text", "lang").filter(
         in_training() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    size = {row["lang"]: row["count"] for row in sizes.collect()}
+    size = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
     languages = tuple(sorted(size))
     if not languages:
         return Filters((), np.zeros((1, SLOTS), np.uint8), np.zeros(0))
-    number = F.create_map(*(F.lit(x) for k, name in enumerate(languages) for x in (name, k)))
-    rate = F.create_map(
-        *(F.lit(x) for k, n in enumerate(languages) for x in (k, min(1.0, SAMPLE_DOCS / size[n])))
-    )
+    # A language of few documents counts as one of FEW_DOCS: one document, or a wrong label, is not to
+    # outweigh an n-gram's use in the others.
+    taken = [min(size[name], SAMPLE_DOCS) for name in languages]
+    known = docs.sparkSession.createDataFrame(
+        [(name, k, min(1.0, SAMPLE_DOCS / size[name]), max(n, FEW_DOCS), max(1, min(MIN_DOCS, MIN_DOCS * n // FEW_DOCS)))
+         for k, (name, n) in enumerate(zip(languages, taken, strict=True))],
+        "name string, number int, rate double, taken long, least int",
+    )
     sample = (
-        labelled.select("doc_id", "text", number[F.col("lang")].alias("lang"))
-        .filter(F.col("lang").isNotNull())
-        .filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20))
-        .select("text", "lang")
+        labelled.join(F.broadcast(known), F.col("lang") == F.col("name"))
+        .filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("rate") * (1 << 20))
+        .select("text", F.col("number").alias("lang"))
     )
 
     def count(batches):
@@ -161,15 +168,13 @@ def learn(docs: DataFrame) -> Filters:
                         ["lang", "gram", "docs"],
                     )
 
-    taken = F.create_map(
-        *(F.lit(x) for k, n in enumerate(languages) for x in (k, min(size[n], SAMPLE_DOCS)))
-    )
-    share = (F.col("docs") / taken[F.col("lang")]).alias("share")
+    share = (F.col("docs") / F.col("taken")).alias("share")
     uses = (
         sample.mapInArrow(count, "lang int, gram long, docs long")
         .groupBy("gram", "lang")
         .agg(F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= MIN_DOCS)
+        .join(F.broadcast(known.drop("rate")), F.col("lang") == F.col("number"))
+        .filter(F.col("docs") >= F.col("least"))
         .select("gram", "lang", share)
         .groupBy("gram")
         .agg(F.max("share").alias("top"), F.collect_list(F.struct("lang", "share")).alias("uses"))

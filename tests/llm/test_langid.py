@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -76,3 +77,23 @@ def test_more_than_64_languages():
         masks[1, (hashes >> np.uint64(20 * i) & np.uint64(langid.SLOTS - 1)).astype(int)] |= np.uint64(4)
     filters = langid.Filters(tuple(f"l{k:02d}" for k in range(70)), masks, np.zeros(70))
     assert filters.predict(["hello world"])[0] == ["l66"]
+
+
+def test_rare_and_many_languages_are_learned(spark):
+    # 300 languages, each with words of its own; the last two have one training document only.
+    rng = random.Random(11)
+    rows, held, doc = [], {}, 0
+    for k in range(300):
+        lexicon = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(6)]
+        wanted = 1 if k >= 298 else 4
+        while wanted:
+            doc += 1
+            text = " ".join(rng.sample(lexicon, 6))
+            if zlib.crc32(str(doc).encode()) % 4 != 2:
+                rows.append((doc, text, f"l{k:03}", "", ""))
+                wanted -= 1
+        held[f"l{k:03}"] = " ".join(reversed(lexicon))
+    filters = langid.learn(spark.createDataFrame(rows, SCHEMA))
+    assert len(filters.languages) == 300 and filters.masks.shape[0] == 5
+    names, _ = filters.predict(list(held.values()))
+    assert names == list(held)
