@@ -17,6 +17,7 @@ from bureauframe.llm import (
     routing,
     simhash,
     simple8b,
+    spelling,
     substring,
 )
 from bureauframe.llm.common import scratch, table
@@ -69,6 +70,10 @@ def op10_collinear_chains(spark: SparkSession, sf: str) -> DataFrame:
     return substring.repeats(table(spark, sf, "documents"))
 
 
+def op13_sorted_list_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_learned_partitions,
@@ -81,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_host_suffix_array,
         op9_ball_trees,
         op10_collinear_chains,
+        op13_sorted_list_spelling,
     ]
     return {query.__name__: query for query in found}
 

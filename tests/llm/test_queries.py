@@ -18,6 +18,7 @@ COLUMNS = {
     "op8": "page_id bigint, url string, text string, n_chars bigint",
     "op9": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op10": "doc_id bigint, other_doc_id bigint, start_word int, end_word int",
+    "op13": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 FOUND = queries.queries()
 
