@@ -131,7 +131,7 @@ def scan(words: Sequence[str], longer: Sequence[bool]) -> Iterator[tuple[int, in
             a, b, c = rows[-1]
             for d in range(len(rows) - 1, len(word)):
                 ch = word[d]
-                left = min(a + (query[d - 1] != ch), b + 1) if 0 < d <= size else far
+                left = min(a + (d == 0 or query[d - 1] != ch), b + 1) if d <= size else far
                 if d < size:
                     b = min(b + (query[d] != ch), c + 1, left + 1)
                     c = min(c + (query[d + 1] != ch), b + 1) if d + 1 < size else far
