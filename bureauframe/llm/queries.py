@@ -19,6 +19,7 @@ from bureauframe.llm import (
     simple8b,
     spelling,
     substring,
+    suffixes,
 )
 from bureauframe.llm.common import scratch, table
 
@@ -70,6 +71,10 @@ def op10_collinear_chains(spark: SparkSession, sf: str) -> DataFrame:
     return substring.repeats(table(spark, sf, "documents"))
 
 
+def op12_two_stage_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.dedup(table(spark, sf, "documents"))
+
+
 def op13_sorted_list_spelling(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(table(spark, sf, "documents"))
 
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_host_suffix_array,
         op9_ball_trees,
         op10_collinear_chains,
+        op12_two_stage_suffixes,
         op13_sorted_list_spelling,
     ]
     return {query.__name__: query for query in found}
