@@ -14,6 +14,7 @@ from bureauframe.llm import (
     extract,
     langid,
     mixing,
+    repair,
     routing,
     simhash,
     simple8b,
@@ -71,6 +72,10 @@ def op10_collinear_chains(spark: SparkSession, sf: str) -> DataFrame:
     return substring.repeats(table(spark, sf, "documents"))
 
 
+def op11_grammar_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repair(table(spark, sf, "conversations"))
+
+
 def op12_two_stage_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf, "documents"))
 
@@ -91,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_host_suffix_array,
         op9_ball_trees,
         op10_collinear_chains,
+        op11_grammar_repair,
         op12_two_stage_suffixes,
         op13_sorted_list_spelling,
     ]

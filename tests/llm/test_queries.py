@@ -18,6 +18,8 @@ COLUMNS = {
     "op8": "page_id bigint, url string, text string, n_chars bigint",
     "op9": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op10": "doc_id bigint, other_doc_id bigint, start_word int, end_word int",
+    "op11": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, "
+    "cost bigint, audit string, repaired_sha256 string",
     "op12": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op13": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
