@@ -89,6 +89,15 @@ def months_since(event: str, as_of: str) -> str:
     return f"CASE WHEN {event} <= {as_of} THEN months_between({as_of}, {event}) END"
 
 
+def window_start(as_of: str, months: int) -> str:
+    """The first day that is at most so many months before a date: `months_between` of the two is
+    `months` or less for this day and all between. A day that the month lacks starts the next one,
+    unless both are the last of their months, which count as whole months apart."""
+    back = f"add_months({as_of}, -{months})"
+    later = f"day({back}) < day({as_of}) AND {as_of} <> last_day({as_of})"
+    return f"date_add({back}, IF({later}, 1, 0))"
+
+
 def months_ceil(later: str, earlier: str) -> str:
     """Whole months between two dates, rounded up, as an int (negative when reversed)."""
     return f"CAST(ceil(months_between({later}, {earlier})) AS INT)"

@@ -18,16 +18,12 @@ from bureauframe.plans.features import Feature, FeatureGroup
 _FLAGS_PER_MASK = 32
 
 
-def _aggregate_sql(feature: Feature, weight: str | None) -> str:
-    if feature.kind == "count" and weight:
-        return f"coalesce(sum(CASE WHEN {feature.where} THEN {weight} END), 0L)"
+def _aggregate_sql(feature: Feature) -> str:
     if feature.kind == "count":
         return f"count(CASE WHEN {feature.where} THEN 1 END)"
     value = feature.value
     if feature.where:
         value = f"CASE WHEN {feature.where} THEN {value} END"
-    if weight and feature.kind in ("sum", "avg"):
-        raise ValueError(f"{feature.name}: no {feature.kind} over weighted rows")
     out = f"{feature.kind}({value})"
     return f"coalesce({out}, 0.0D)" if feature.zero else out
 
@@ -97,10 +93,8 @@ def feature_frame(
     rows: DataFrame,
     keys: Sequence[str],
     groups: Iterable[FeatureGroup],
-    weight: str | None = None,
 ) -> DataFrame:
-    """One row per key with the features of all groups, in catalogue order. `weight` names a column
-    that says how many rows a row stands for.
+    """One row per key with the features of all groups, in catalogue order.
 
     Distinct counts never enter the wide aggregation as sets, which would turn all of it into
     object aggregation: listed values travel as bits, others are counted apart and joined.
@@ -109,7 +103,7 @@ def feature_frame(
     distincts = [f for f in features if f.kind == "distinct"]
     packed, unpacked = _masks([f for f in features if f.kind == "flag"])
     plain = {
-        f.name: _aggregate_sql(f, weight)
+        f.name: _aggregate_sql(f)
         for f in features
         if f.kind not in ("flag", "derived", "distinct")
     }

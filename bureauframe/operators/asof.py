@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bureauframe.functions.dates import parse_date
+from bureauframe.operators.timeline import DAY, TIMELINE, gathered, rank_sql
 from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, REFERENCE_DATE, SCRUB_DATE
 
 SNAPSHOT_WINDOW_MONTHS = 12
@@ -51,20 +52,29 @@ def reference_keys(references: DataFrame) -> DataFrame:
 def resolve_snapshots(
     references: DataFrame, master: DataFrame, months: int = SNAPSHOT_WINDOW_MONTHS
 ) -> DataFrame:
-    """For each reference the latest delivery within `months` after it.
+    """For each of the distinct references the latest delivery within `months` after it.
 
-    The master is first reduced to one row per party and delivery (smallest customer key), so a
-    party meets each of its references once per delivery however many keys it has; `max` over
-    (date, key) then picks the latest from parts combined before the shuffle.
+    The master is reduced to one row per party: the timeline of its deliveries, each with the
+    smallest customer key. A reference meets that row once and finds the last delivery up to the end
+    of its window by bisection, so no reference is multiplied by the deliveries of its party.
     """
-    deliveries = master.groupBy(PARTY, SCRUB_DATE).agg(F.min(CUSTOMER_KEY).alias(CUSTOMER_KEY))
-    day, limit = F.col(REFERENCE_DATE), F.add_months(F.col(REFERENCE_DATE), months)
+    deliveries = (
+        master.filter(F.col(SCRUB_DATE).isNotNull())
+        .groupBy(PARTY, F.unix_date(SCRUB_DATE).alias(DAY))
+        .agg(F.min(CUSTOMER_KEY).alias(CUSTOMER_KEY))
+    )
+    limit = f"unix_date(add_months({REFERENCE_DATE}, {months}))"
+    latest = F.expr(f"get({TIMELINE}, {rank_sql(TIMELINE, limit)} - 1)")
     return (
-        references.join(deliveries, PARTY)
-        .filter(F.col(SCRUB_DATE).between(day, limit))
-        .groupBy(PARTY, REFERENCE_DATE)
-        .agg(F.max(F.struct(SCRUB_DATE, CUSTOMER_KEY)).alias("latest"))
-        .select(PARTY, REFERENCE_DATE, "latest.*")
+        references.join(gathered(deliveries, PARTY, [CUSTOMER_KEY]), PARTY)
+        .select(PARTY, REFERENCE_DATE, latest.alias("latest"))
+        .filter(F.col(f"latest.{DAY}") >= F.unix_date(REFERENCE_DATE))
+        .select(
+            PARTY,
+            REFERENCE_DATE,
+            F.date_from_unix_date(f"latest.{DAY}").alias(SCRUB_DATE),
+            F.col(f"latest.{CUSTOMER_KEY}").alias(CUSTOMER_KEY),
+        )
     )
 
 
@@ -102,24 +112,22 @@ def retro_enquiries(
     return found
 
 
-WEIGHT = "enquiries"
-
-
-def weighted_retro_enquiries(
-    enquiry: DataFrame, resolved: DataFrame, master: DataFrame
+def party_enquiries(
+    enquiry: DataFrame, resolved: DataFrame, master: DataFrame, dedup_on: list[str] | None = None
 ) -> DataFrame:
-    """The rows of `retro_enquiries` as features see them, with how many are alike in WEIGHT.
-
-    Enquiries are brought to the party and counted by date, purpose and lender before they meet the
-    references: a party with many keys and many references multiplies neither by the other.
-    """
-    keys = master.select(CUSTOMER_KEY, PARTY).distinct()
-    kinds = ["inq_date", "inq_purp_cd", "m_sub_id"]
-    counted = (
-        enquiry.select(CUSTOMER_KEY, *kinds)
-        .join(keys, CUSTOMER_KEY)
-        .groupBy(PARTY, *kinds)
-        .agg(F.count(F.lit(1)).alias(WEIGHT))
-    )
-    found = resolved.select(PARTY, REFERENCE_DATE).join(counted, PARTY)
-    return found.filter(parse_date("inq_date") <= F.col(REFERENCE_DATE))
+    """Enquiries of every key of the parties that references ask for, each with its party, once per
+    key. With `dedup_on` one of each is kept, the earliest."""
+    wanted = resolved.select(PARTY).distinct()
+    keys = master.select(CUSTOMER_KEY, PARTY).distinct().join(wanted, PARTY, "left_semi")
+    found = enquiry.drop(PARTY, SCRUB_DATE).join(keys, CUSTOMER_KEY)
+    if not dedup_on:
+        return found
+    day = parse_date("inq_date")
+    rest = [c for c in found.columns if c not in (PARTY, *dedup_on)]
+    first = F.min_by(F.struct(*rest), day).alias("first")
+    return found.filter(day.isNotNull()).groupBy(PARTY, *dedup_on).agg(first).select(PARTY, *dedup_on, "first.*")
+
+
+def with_timelines(resolved: DataFrame, timelines: DataFrame) -> DataFrame:
+    """Each reference with the timeline of its party; references without one are left out."""
+    return resolved.select(PARTY, REFERENCE_DATE).join(timelines, PARTY)

@@ -12,6 +12,15 @@ ACCOUNT = "account"
 ENQUIRY = "enquiry"
 
 
+@dataclass(frozen=True)
+class Recent:
+    """What a feature over the age of events looks at: those of one kind (a condition without the
+    age, None for all), and how many months back at most (None for all)."""
+
+    among: str | None = None
+    within: int | None = None
+
+
 @dataclass(frozen=True)
 class Feature:
     name: str
@@ -21,6 +30,7 @@ class Feature:
     zero: bool = False  # deliver 0.0 instead of NULL when no row qualifies
     hidden: bool = False  # only feeds derived features
     listed: tuple[str, ...] = ()  # of a distinct count: values known beforehand, at most 63
+    recent: Recent | None = None  # set where the feature can be read from a timeline of events
 
 
 def count(name: str, where: str) -> Feature:
@@ -32,6 +42,26 @@ def flag(name: str, where: str) -> Feature:
     return Feature(name, "flag", where=where)
 
 
+def _aged(age: str, recent: Recent) -> str:
+    near = f"{age} <= {recent.within}" if recent.within else f"{age} IS NOT NULL"
+    return f"{recent.among} AND {near}" if recent.among else near
+
+
+def recent_count(name: str, age: str, within: int | None = None, among: str | None = None) -> Feature:
+    """Events whose age in months is known and at most `within`."""
+    recent = Recent(among, within)
+    return Feature(name, "count", where=_aged(age, recent), recent=recent)
+
+
+def recent_flag(name: str, age: str, within: int, among: str | None = None) -> Feature:
+    recent = Recent(among, within)
+    return Feature(name, "flag", where=_aged(age, recent), recent=recent)
+
+
+def least_age(name: str, age: str, among: str | None = None) -> Feature:
+    return Feature(name, "min", age, among, recent=Recent(among))
+
+
 def total(name: str, value: str, where: str | None = None, zero: bool = False) -> Feature:
     return Feature(name, "sum", value, where, zero)
 

@@ -7,16 +7,17 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bureauframe.operators import asof
+from bureauframe.operators import asof, timeline
 from bureauframe.operators.aggregate import feature_frame, gather
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS
 from bureauframe.plans.features import FeatureGroup
-from bureauframe.plans.rows import account_rows, enquiry_rows
+from bureauframe.plans.rows import account_rows, enquiry_events, enquiry_rows
 from bureauframe.plans.scrub import Computation
 from bureauframe.session import tuned
 from bureauframe.sources import sinks, tables
-from bureauframe.sources.schemas import REFERENCE_DATE, RETRO_KEYS
+from bureauframe.sources.schemas import PARTY, REFERENCE_DATE, RETRO_KEYS
 
 
 def tradeline_features(
@@ -39,14 +40,21 @@ def enquiry_features(
     groups: Sequence[FeatureGroup] = ENQUIRY_GROUPS,
     dedup_on: list[str] | None = None,
 ) -> DataFrame:
-    """One row per resolved reference with at least one enquiry up to it. With `dedup_on` each
-    enquiry is looked at by itself, otherwise equal ones of a party are counted together first."""
-    if dedup_on:
-        found = asof.retro_enquiries(enquiry, resolved, master, dedup_on)
-        return feature_frame(enquiry_rows(found, RETRO_KEYS, REFERENCE_DATE), RETRO_KEYS, groups)
-    found = asof.weighted_retro_enquiries(enquiry, resolved, master)
-    rows = enquiry_rows(found, [*RETRO_KEYS, asof.WEIGHT], REFERENCE_DATE)
-    return feature_frame(rows, RETRO_KEYS, groups, weight=asof.WEIGHT)
+    """One row per resolved reference with at least one enquiry up to it. `dedup_on` names the
+    columns that identify an enquiry across deliveries; one of each is kept.
+
+    Groups of counts, flags and least ages are read from one timeline per party, so references and
+    enquiries of a busy party do not multiply. A group with other features sees each enquiry with
+    each reference after it.
+    """
+    if timeline.recent_groups(groups):
+        found = asof.party_enquiries(enquiry, resolved, master, dedup_on)
+        events = enquiry_events(found, [PARTY])
+        timelines = timeline.event_timelines(events, PARTY, F.col("inquired"), groups)
+        lookups = asof.with_timelines(resolved, timelines)
+        return timeline.timeline_features(lookups, RETRO_KEYS, REFERENCE_DATE, groups)
+    found = asof.retro_enquiries(enquiry, resolved, master, dedup_on)
+    return feature_frame(enquiry_rows(found, RETRO_KEYS, REFERENCE_DATE), RETRO_KEYS, groups)
 
 
 @dataclass(frozen=True)

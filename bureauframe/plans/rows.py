@@ -186,12 +186,18 @@ def _balances() -> dict[str, str]:
     return out
 
 
-def enquiry_rows(enquiry: DataFrame, keys: Sequence[str], as_of: str) -> DataFrame:
+def _enquiry_kinds() -> dict[str, str]:
     lender = codes.lender_flags(codes.lender())
-    columns = {
-        "mse": months_since(date_sql("inq_date"), f"CAST({as_of} AS DATE)"),
-        **codes.purpose_flags(codes.code("inq_purp_cd")),
-        "nbfc": lender["nbfc"],
-        "pvt": lender["pvt"],
-    }
-    return _step(enquiry, keys, columns)
+    purpose = codes.purpose_flags(codes.code("inq_purp_cd"))
+    return purpose | {"nbfc": lender["nbfc"], "pvt": lender["pvt"]}
+
+
+def enquiry_rows(enquiry: DataFrame, keys: Sequence[str], as_of: str) -> DataFrame:
+    """An enquiry as features see it as of a date: its age and its kinds."""
+    age = months_since(date_sql("inq_date"), f"CAST({as_of} AS DATE)")
+    return _step(enquiry, keys, {"mse": age} | _enquiry_kinds())
+
+
+def enquiry_events(enquiry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same before any as-of date is known: its day and its kinds."""
+    return _step(enquiry, keys, {"inquired": date_sql("inq_date")} | _enquiry_kinds())

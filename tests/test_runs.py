@@ -220,15 +220,6 @@ def test_only_the_deliverys_keys_are_aggregated(spark, inputs):
     assert wide < semi
 
 
-def test_weighted_enquiries_equal_single_ones(spark, inputs):
-    enquiry, master = (spark.read.parquet(f"{inputs}/{n}") for n in ("enquiry", "master"))
-    resolved = asof.resolve_snapshots(asof.reference_keys(spark.read.parquet(f"{inputs}/references")), master)
-    weighted = retro.enquiry_features(enquiry, resolved, master)
-    unique = [*enquiry.columns]
-    single = retro.enquiry_features(enquiry, resolved, master, dedup_on=unique)
-    assert weighted.exceptAll(single).isEmpty() and single.exceptAll(weighted).isEmpty()
-
-
 def test_wide_aggregation_uses_hash_aggregates_only(spark, inputs):
     accounts = spark.read.parquet(f"{inputs}/tradeline")
     frame = scrub.tradeline_features(accounts, spark.read.parquet(f"{inputs}/master"))
