@@ -11,18 +11,19 @@ from pyspark.sql import functions as F
 
 from bureauframe.operators.checks import duplicate_keys
 from bureauframe.operators.frames import distinct_columns
-from bureauframe.session import shared_folder
-from bureauframe.sources.tables import is_path, partition_columns, read_source, replace_path
+from bureauframe.sources import commits
+from bureauframe.sources.commits import is_path
+from bureauframe.sources.tables import partition_columns, read_source
 
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def exists(spark: SparkSession, target: str) -> bool:
     """Whether a sink holds data already. An empty directory counts as missing."""
-    if not is_path(target):
+    if not is_path(target) and not commits.pending(spark, target):
         return spark.catalog.tableExists(target)
     try:
-        return bool(spark.read.parquet(target).columns)
+        return bool(read_source(spark, target).columns)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
@@ -68,6 +69,7 @@ def write_append(
     spark = df.sparkSession
     partition = partition if partition in df.columns else None
     out = _prepare(df, partition)
+    commits.recover(spark, target)
     present = exists(spark, target)
     if present:
         _check_columns(spark, out, target, evolve)
@@ -87,22 +89,18 @@ def write_append(
 
 
 def _write_whole(df: DataFrame, target: str, partitions: Sequence[str]) -> None:
-    """Replace a sink. The new data is written beside it and takes its place when complete, so a
-    failure leaves the old sink."""
+    """Replace a sink. The new data is written beside it and takes its place in one commit, so a
+    run that stops anywhere leaves the old or the new rows."""
     spark = df.sparkSession
     beside = f"{target.rstrip('/')}__{os.urandom(6).hex()}"
     writer = df.write.partitionBy(*partitions) if partitions else df.write
     _save(writer, beside)
-    if is_path(target):
-        replace_path(spark, beside, target)
-        spark.catalog.refreshByPath(target)
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {beside} RENAME TO {target}")
+    commits.replace(spark, target, beside)
 
 
 def write_overwrite(df: DataFrame, target: str, partition: str | None = None) -> None:
     partition = partition if partition in df.columns else None
+    commits.recover(df.sparkSession, target)
     _write_whole(_prepare(df, partition), target, [partition] if partition else [])
 
 
@@ -118,18 +116,53 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return untouched.unionByName(new, allowMissingColumns=True)
 
 
+def touched_files(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], partition: str | None = None
+) -> list[str]:
+    """Files of `old` that hold a key of `new`. Their names reach the driver, as those of all files
+    of a scan do; rows do not. The few values of a partition column prune the scan."""
+    at = "_file"
+    held = old.select(*keys, F.col("_metadata.file_path").alias(at))
+    if partition:
+        held = held.join(F.broadcast(new.select(partition).distinct()), partition, "left_semi")
+    found = held.join(new.select(*keys), list(keys), "left_semi").select(at).distinct()
+    return sorted(row[at] for row in found.collect())
+
+
+def _merge_files(new: DataFrame, target: str, keys: Sequence[str], partition: str | None) -> None:
+    """Copy on write by file: the files that hold a matched key are written again, with their other
+    rows and all of `new`, and take the place of the old ones in one commit."""
+    spark = new.sparkSession
+    old = read_source(spark, target)
+    touched = touched_files(old, new, keys, partition)
+    folder = commits.location(spark, target)
+    if touched:
+        kept = spark.read.option("basePath", folder).schema(read_source(spark, target).schema).parquet(*touched)
+        merged = upsert(kept, new, keys)
+    else:
+        only_old = [c for c in old.columns if c not in new.columns]
+        merged = new.selectExpr("*", *(f"CAST(NULL AS {dict(old.dtypes)[c]}) AS `{c}`" for c in only_old))
+    staged = f"{folder}__staged-{os.urandom(6).hex()}"
+    parts = partition_columns(spark, target)
+    writer = merged.select(*old.columns).write
+    (writer.partitionBy(*parts) if parts else writer).parquet(staged)
+    commits.replace_files(spark, target, staged, touched)
+
+
 def write_merge(
     df: DataFrame, target: str, keys: Sequence[str], partition: str | None = None
 ) -> None:
     """Upsert into a target, created if absent, which keeps its partition folders.
 
-    Keys of `df` must be unique, as in SQL MERGE. With a partition column only the partitions of
-    `df` are read and replaced, so it must be one of the keys: a row cannot move. Parquet cannot be
-    rewritten while it is read; the merged rows are first made durable in the checkpoint folder.
+    Keys of `df` must be unique, as in SQL MERGE. Only files that hold a key of `df` are read whole
+    and written again. With a partition column only the partitions of `df` are searched, so it must
+    be one of the keys: a row cannot move. Columns the target lacks make all of it be written again,
+    for its files have one schema.
     """
     if partition and partition not in keys:
         raise ValueError(f"merge by partition needs {partition!r} among the keys {list(keys)}")
     spark = df.sparkSession
+    commits.recover(spark, target)
     new = _prepare(df, partition)
     doubled = [r.asDict() for r in duplicate_keys(new, keys).limit(3).collect()]
     if doubled:
@@ -137,19 +170,12 @@ def write_merge(
     if not exists(spark, target):
         write_overwrite(new, target, partition)
         return
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     old = read_source(spark, target)
-    if partition:
-        old = old.join(new.select(partition).distinct(), partition, "left_semi")
-    merged = upsert(old, new, keys).checkpoint()
-    if partition and set(merged.columns) == set(old.columns):
-        write_append(merged, target, partition)
-    elif partition:
-        rest = read_source(spark, target).join(new.select(partition).distinct(), partition, "left_anti")
-        _write_whole(rest.unionByName(merged, allowMissingColumns=True), target, [partition])
+    kinds = dict(old.dtypes)
+    if all(kinds.get(name) == kind for name, kind in new.dtypes):
+        _merge_files(new, target, keys, partition)
     else:
-        _write_whole(merged, target, partition_columns(spark, target))
+        _write_whole(upsert(old, new, keys), target, partition_columns(spark, target))
 
 
 def write(

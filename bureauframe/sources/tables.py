@@ -6,33 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bureauframe.sources import schemas
+from bureauframe.sources import commits, schemas
+from bureauframe.sources.commits import files_at, is_path
 
 Source = str | DataFrame
 
 
-def is_path(name: str) -> bool:
-    return "/" in name
-
-
 def read_source(spark: SparkSession, source: Source, fmt: str = "parquet") -> DataFrame:
-    if isinstance(source, DataFrame):
-        return source
-    return spark.read.format(fmt).load(source) if is_path(source) else spark.table(source)
-
-
-def _files(spark: SparkSession, path: str):
-    """The file system of a path and the path in its terms: local, HDFS or an object store."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+    """A source whole: while a sink is being replaced, the old or the new rows."""
+    return source if isinstance(source, DataFrame) else commits.read(spark, source, fmt)
 
 
 def partition_columns(spark: SparkSession, source: str) -> list[str]:
     """Partition columns of a table, or of a parquet path written with partition folders."""
     if not is_path(source):
         return [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
-    files, at = _files(spark, source)
+    files, at = files_at(spark, source)
     names: list[str] = []
     while files.exists(at):
         inner = [s for s in files.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName()]
@@ -49,7 +38,7 @@ def partition_dates(spark: SparkSession, source: str, column: str) -> list[str]
     if partition_columns(spark, source)[:1] != [column]:
         return None
     if is_path(source):
-        files, at = _files(spark, source)
+        files, at = files_at(spark, source)
         found = [s.getPath().getName() for s in files.listStatus(at) if s.isDirectory()]
     else:
         found = [row[0].split("/")[0] for row in spark.sql(f"SHOW PARTITIONS {source}").collect()]
@@ -57,18 +46,6 @@ def partition_dates(spark: SparkSession, source: str, column: str) -> list[str]
     return sorted(values - {"__HIVE_DEFAULT_PARTITION__"})
 
 
-def replace_path(spark: SparkSession, new: str, target: str) -> None:
-    """Put a finished folder in the place of `target`; until then `target` stays whole."""
-    files, at = _files(spark, target)
-    fresh, old = _files(spark, new)[1], _files(spark, f"{new}-old")[1]
-    if files.exists(at) and not files.rename(at, old):
-        raise OSError(f"cannot move {target} aside")
-    if not files.rename(fresh, at):
-        files.rename(old, at)
-        raise OSError(f"cannot move {new} to {target}")
-    files.delete(old, True)
-
-
 def read_checked(
     spark: SparkSession, source: Source, schema: T.StructType, label: str
 ) -> DataFrame:
