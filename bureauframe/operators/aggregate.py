@@ -93,8 +93,10 @@ def feature_frame(
     rows: DataFrame,
     keys: Sequence[str],
     groups: Iterable[FeatureGroup],
+    null_keys: bool = True,
 ) -> DataFrame:
-    """One row per key with the features of all groups, in catalogue order.
+    """One row per key with the features of all groups, in catalogue order. Without `null_keys` no
+    key is NULL, and rows that are already partitioned by some of them are not shuffled again.
 
     Distinct counts never enter the wide aggregation as sets, which would turn all of it into
     object aggregation: listed values travel as bits, others are counted apart and joined.
@@ -110,7 +112,7 @@ def feature_frame(
     bits = {f"_bits_{f.name}": _listed_bits(f)[0] for f in distincts if f.listed}
     aggregates = [F.expr(f"{sql} AS {name}") for name, sql in (plain | packed | bits).items()]
     by, back = list(keys), list(keys)
-    if distincts:
+    if distincts and null_keys:
         rows, by, back = _null_free(rows, keys)
     grouped = rows.groupBy(*by).agg(*aggregates or [F.count(F.lit(1)).alias("_rows")])
     counted = {}

@@ -83,16 +83,22 @@ def unmatched_references(references: DataFrame, resolved: DataFrame) -> DataFram
     return references.join(resolved, [PARTY, REFERENCE_DATE], "left_anti")
 
 
-def retro_tradeline(tradeline: DataFrame, resolved: DataFrame) -> DataFrame:
+def retro_tradeline(tradeline: DataFrame, resolved: DataFrame, colocated: bool = False) -> DataFrame:
     """Accounts of the resolved delivery, once per reference.
 
-    The dates of the deliveries asked for, one each, are fetched first: as a filter on the partition
-    column they keep all other deliveries from being listed or read. `resolved` itself, which grows
-    with the references, is joined after; persist it if it is dear.
+    The dates asked for, one a delivery, are broadcast and prune the partitions of the scan while it
+    runs. `resolved` itself, which grows with the references, is joined after. Accounts that are
+    `colocated` by customer are joined on that key alone, which their layout serves without an
+    exchange; the date, which the key belongs to, is compared in the join.
     """
-    wanted = [row[SCRUB_DATE] for row in resolved.select(SCRUB_DATE).distinct().collect()]
-    read = tradeline.drop(PARTY).filter(F.col(SCRUB_DATE).isin(wanted))
-    return read.join(resolved, [CUSTOMER_KEY, SCRUB_DATE])
+    dates = F.broadcast(resolved.select(SCRUB_DATE).distinct())
+    read = tradeline.drop(PARTY).join(dates, SCRUB_DATE, "left_semi")
+    if not colocated:
+        return read.join(resolved, [CUSTOMER_KEY, SCRUB_DATE])
+    found = resolved.withColumnRenamed(SCRUB_DATE, "_resolved")
+    # A difference instead of an equality: Spark would take that for a second join key.
+    joined = read.join(found, CUSTOMER_KEY).filter(F.datediff(SCRUB_DATE, "_resolved") == 0)
+    return joined.drop("_resolved")
 
 
 def retro_enquiries(

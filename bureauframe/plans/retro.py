@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bureauframe.operators import asof, timeline
-from bureauframe.operators.aggregate import feature_frame, gather
+from bureauframe.operators.aggregate import feature_frame
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS
 from bureauframe.plans.features import FeatureGroup
 from bureauframe.plans.rows import account_rows, enquiry_events, enquiry_rows
 from bureauframe.plans.scrub import Computation
 from bureauframe.session import tuned
-from bureauframe.sources import sinks, tables
-from bureauframe.sources.schemas import PARTY, REFERENCE_DATE, RETRO_KEYS
+from bureauframe.sources import layout, sinks, tables
+from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, REFERENCE_DATE, RETRO_KEYS, SCRUB_DATE
 
 
 def tradeline_features(
@@ -25,12 +26,35 @@ def tradeline_features(
     resolved: DataFrame,
     groups: Sequence[FeatureGroup] = ACCOUNT_GROUPS,
     strict: bool = False,
-    gathered: bool = False,
+    colocated: bool = False,
 ) -> DataFrame:
-    """One row per resolved reference with at least one account in its delivery."""
-    accounts = asof.retro_tradeline(tradeline, resolved)
-    rows = account_rows(accounts, RETRO_KEYS, REFERENCE_DATE, strict)
-    return feature_frame(gather(rows, RETRO_KEYS) if gathered else rows, RETRO_KEYS, groups)
+    """One row per resolved reference with at least one account in its delivery.
+
+    A reference has one delivery and customer, so these are keys of the aggregation too: the
+    exchange that brought accounts to their references serves it as well. `colocated` says that the
+    accounts are laid out by customer (`sources.layout`): then neither shuffles them.
+    """
+    accounts = asof.retro_tradeline(tradeline, resolved, colocated)
+    keys = [*RETRO_KEYS, CUSTOMER_KEY, SCRUB_DATE]
+    rows = account_rows(accounts, keys, REFERENCE_DATE, strict)
+    return feature_frame(rows, keys, groups, null_keys=False).drop(CUSTOMER_KEY, SCRUB_DATE)
+
+
+def _account_features(
+    spark: SparkSession, tradeline: str, resolved: DataFrame, what: Computation
+) -> DataFrame:
+    """`tradeline_features` of a source; of one laid out by customer, with its heavy customers."""
+    laid = layout.is_colocated(spark, tradeline)
+    parts = {tradeline: laid} | ({layout.heavy_table(tradeline): False} if laid else {})
+    return reduce(
+        DataFrame.unionByName,
+        (
+            tradeline_features(
+                tables.read_tradeline(spark, name), resolved, what.account_groups, what.strict, colocated
+            )
+            for name, colocated in parts.items()
+        ),
+    )
 
 
 def enquiry_features(
@@ -85,10 +109,7 @@ def run(
     resolved = asof.resolve_snapshots(wanted, parties, window_months).persist(StorageLevel.DISK_ONLY)
     try:
         with tuned(spark):
-            accounts = tables.read_tradeline(spark, tradeline)
-            features = tradeline_features(
-                accounts, resolved, computation.account_groups, computation.strict
-            )
+            features = _account_features(spark, tradeline, resolved, computation)
             sinks.write_overwrite(features, tradeline_sink)
             enquiries = tables.read_enquiry(spark, enquiry)
             features = enquiry_features(
