@@ -43,6 +43,14 @@ def scrub_enquiries(enquiry: DataFrame, tradeline: DataFrame, scrub_date: str) -
     )
 
 
+def batch_enquiries(enquiry: DataFrame, tradeline: DataFrame) -> DataFrame:
+    """The same for all deliveries of `tradeline` at once, each enquiry stamped with the dates of the
+    deliveries that have its customer: one, for a key belongs to a delivery."""
+    customers = tradeline.select(CUSTOMER_KEY, SCRUB_DATE).distinct()
+    found = enquiry.drop(SCRUB_DATE).join(customers, CUSTOMER_KEY)
+    return found.filter(parse_date("inq_date") <= F.col(SCRUB_DATE))
+
+
 def reference_keys(references: DataFrame) -> DataFrame:
     """Distinct (party, reference date), with the date typed."""
     day = parse_date(REFERENCE_DATE).alias(REFERENCE_DATE)

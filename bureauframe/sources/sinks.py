@@ -88,6 +88,15 @@ def write_append(
             spark.conf.set(_MODE, before)
 
 
+def drop_partition(spark: SparkSession, target: str, column: str, value: str) -> None:
+    """Remove one partition of a sink."""
+    if is_path(target):
+        commits.delete(spark, f"{target.rstrip('/')}/{column}={value}")
+        spark.catalog.refreshByPath(target)
+    else:
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = '{value}')")
+
+
 def _write_whole(df: DataFrame, target: str, partitions: Sequence[str]) -> None:
     """Replace a sink. The new data is written beside it and takes its place in one commit, so a
     run that stops anywhere leaves the old or the new rows."""

@@ -52,13 +52,13 @@ def read_checked(
     return schemas.require_columns(read_source(spark, source), schema, label)
 
 
-def read_tradeline(spark: SparkSession, source: Source, scrub_date: str | None = None) -> DataFrame:
-    """Scan accounts; with a date the filter reaches the partition column, so other dates are
+def read_tradeline(spark: SparkSession, source: Source, *scrub_dates: str) -> DataFrame:
+    """Scan accounts; with dates the filter reaches the partition column, so other dates are
     never listed or opened."""
     df = read_checked(spark, source, schemas.TRADELINE, "tradeline")
-    if scrub_date is None:
+    if not scrub_dates:
         return df
-    return df.filter(F.col(schemas.SCRUB_DATE) == F.lit(scrub_date).cast("date"))
+    return df.filter(F.col(schemas.SCRUB_DATE).isin([F.lit(d).cast("date") for d in scrub_dates]))
 
 
 def read_enquiry(spark: SparkSession, source: Source) -> DataFrame:
