@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bureauframe.functions.dates import parse_date
-from bureauframe.operators import asof, checks, frames, incremental
+from bureauframe.operators import asof, checks, frames, incremental, ledger
 from bureauframe.operators.frames import rounded
 from bureauframe.plans import listing, retro, scrub
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, GROUPS
@@ -18,7 +18,7 @@ from bureauframe.plans.companions import COMPANIONS
 from bureauframe.plans.features import ACCOUNT, FeatureGroup, count, distinct
 from bureauframe.plans.rows import account_rows
 from bureauframe.session import shared_folder, tune
-from bureauframe.sources import derived, sinks, tables
+from bureauframe.sources import commits, derived, layout, sinks, tables
 from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, SCRUB_DATE
 from bureauframe.sources.tables import partition_columns
 from oracle import queries as oracle_queries
@@ -102,10 +102,8 @@ def _row_query(columns: list[str]) -> Query:
 # -- features -------------------------------------------------------------------------------------
 
 
-def _features(spark: SparkSession, sf: str, *groups, gathered: bool = False) -> DataFrame:
-    return scrub.tradeline_features(
-        derived.tradeline(spark, sf), derived.master(spark, sf), groups, gathered=gathered
-    )
+def _features(spark: SparkSession, sf: str, *groups) -> DataFrame:
+    return scrub.tradeline_features(derived.tradeline(spark, sf), derived.master(spark, sf), groups)
 
 
 def _group_query(name: str) -> Query:
@@ -113,7 +111,7 @@ def _group_query(name: str) -> Query:
 
 
 def wide_tradeline(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_features(spark, sf, *ACCOUNT_GROUPS, gathered=True))
+    return rounded(_features(spark, sf, *ACCOUNT_GROUPS))
 
 
 def wide_enquiry(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,6 +138,15 @@ def wide_retro_enquiry(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def wide_retro_enquiry_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """An enquiry that came with several deliveries counts once."""
+    return rounded(
+        retro.enquiry_features(
+            derived.enquiry(spark, sf), asof_snapshot(spark, sf), derived.master(spark, sf), dedup_on=["event_id"]
+        )
+    )
+
+
 def group_assembly(spark: SparkSession, sf: str) -> DataFrame:
     """Groups computed apart and joined on their keys."""
     names = ("grp01_portfolio_counts", "grp04_bureau_vintage", "grp07_delinquency")
@@ -196,6 +203,48 @@ def own_group_run(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(names.tradeline_sink)
 
 
+def _small_run(spark: SparkSession, names: scrub.ScrubTables, *what, **options) -> scrub.ScrubReport:
+    small = scrub.Computation((GROUPS["grp04_bureau_vintage"],), (GROUPS["grp12_enquiries"],))
+    return scrub.run(spark, names, *what, computation=small, **options)
+
+
+def redelivery_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Half the accounts of both deliveries, computed in one batch; then the other half comes in, which
+    the run notices by the files."""
+    root = _scratch(spark)
+    accounts = derived.tradeline(spark, sf)
+    derived.enquiry(spark, sf).write.parquet(f"{root}/enquiry")
+    derived.master(spark, sf).write.parquet(f"{root}/master")
+    places = (f"{root}/{n}" for n in ("tradeline", "enquiry", "master", "account_sink", "enquiry_sink"))
+    names = scrub.ScrubTables(*places)
+    for half in (0, 1):
+        part = accounts.filter(F.col("acct_id") % 2 == half)
+        part.write.mode("append").partitionBy(SCRUB_DATE).parquet(names.tradeline)
+        report = _small_run(spark, names)
+        if report.dates != [EARLIER, LATER]:
+            raise ValueError(f"expected both deliveries, computed {report.dates}")
+    return rounded(spark.read.parquet(names.tradeline_sink))
+
+
+def delivery_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """What the ledgers of both sinks say after a run: rows by delivery."""
+    root = _scratch(spark)
+    sinks.write_append(derived.tradeline(spark, sf), f"{root}/tradeline", SCRUB_DATE)
+    derived.enquiry(spark, sf).write.parquet(f"{root}/enquiry")
+    derived.master(spark, sf).write.parquet(f"{root}/master")
+    places = (f"{root}/{n}" for n in ("tradeline", "enquiry", "master", "account_sink", "enquiry_sink"))
+    names = scrub.ScrubTables(*places)
+    _small_run(spark, names)
+    written = {"accounts": names.tradeline_sink, "enquiries": names.enquiry_sink}
+    rows = [
+        (kind, date, entry.rows)
+        for kind, sink in written.items()
+        for date, entry in ledger.entries(spark, sink).items()
+    ]
+    found = spark.createDataFrame(rows, f"sink string, {SCRUB_DATE} string, n long")
+    return found.withColumn(SCRUB_DATE, F.col(SCRUB_DATE).cast("date"))
+
+
 def _retro(spark: SparkSession, sf: str) -> str:
     root = _scratch(spark)
     for name in ("tradeline", "enquiry", "master", "references"):
@@ -226,6 +275,22 @@ def retro_run_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{_retro(spark, sf)}/unmatched")
 
 
+def retro_run_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """A retro run over accounts laid out by customer."""
+    root, table = _scratch(spark), _catalog_name()
+    layout.write_colocated(derived.tradeline(spark, sf), table, buckets=8)
+    for name in ("enquiry", "master", "references"):
+        getattr(derived, name)(spark, sf).write.parquet(f"{root}/{name}")
+    retro.run(
+        spark,
+        f"{root}/references",
+        table,
+        *(f"{root}/{n}" for n in ("enquiry", "master", "tradeline_features", "enquiry_features")),
+        computation=scrub.Computation(account_groups=(GROUPS["grp07_delinquency"],)),
+    )
+    return rounded(spark.read.parquet(f"{root}/tradeline_features"))
+
+
 def _account_counts(spark: SparkSession, sf: str) -> DataFrame:
     closed = F.count(F.when(F.col("closed_dt").contains("/"), 1)).alias("closed")
     grouped = derived.tradeline(spark, sf).groupBy(*SCRUB)
@@ -261,6 +326,23 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def merge_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Merge into a sink without partitions: files without a matched key stay as they are."""
+    target = f"{_scratch(spark)}/sink"
+    counts = _account_counts(spark, sf)
+    for day in (EARLIER, LATER):
+        part = counts.filter((F.col(SCRUB_DATE) == day) & (F.col("n") > 5))
+        part.coalesce(1).write.mode("append").parquet(target)
+    before = set(commits.data_files(spark, target))
+    later = counts.filter(F.col(SCRUB_DATE) == LATER)
+    changed = later.filter("closed > 2").withColumn("n", -F.col("n"))
+    added = counts.filter("NOT n > 5").join(changed.select(*SCRUB), SCRUB, "left_anti")
+    sinks.write(changed.unionByName(added), target, "merge", keys=SCRUB)
+    if len(before & set(commits.data_files(spark, target))) != 1:
+        raise ValueError("the merge should leave the file of the earlier delivery")
+    return spark.read.parquet(target)
+
+
 def _catalog_name() -> str:
     return "bureauframe_" + os.urandom(8).hex()
 
@@ -367,7 +449,8 @@ def queries() -> dict[str, Query]:
         scrub_run_enquiry, own_group_run, retro_run, retro_run_tradeline, retro_run_unmatched,
         partition_overwrite, full_overwrite, merge_upsert, catalog_append, merge_layout,
         pending_dates, pk_check, rows_per_scrub, rows_per_sink_date, feature_listing,
-        customer_listing, grp12_enquiries, frame_helpers,
+        customer_listing, grp12_enquiries, frame_helpers, wide_retro_enquiry_dedup, redelivery_run,
+        delivery_ledger, retro_run_colocated, merge_by_file,
     ]
     out: dict[str, Query] = {query.__name__: query for query in plain}
     out |= {name: _row_query(list(cols)) for name, cols in oracle_queries.ROW_QUERIES.items()}

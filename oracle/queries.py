@@ -57,8 +57,12 @@ def retro_accounts(*groups) -> str:
     return _grouped(ctes, "r", "party_code, reference_dt", groups, party=False)
 
 
-def retro_enquiries() -> str:
-    ctes = f"{rows.resolved()}, {rows.enquiry_rows(rows.RETRO_ENQUIRIES)}"
+def retro_enquiries(once: bool = False) -> str:
+    """With `once` an event counts once for a reference, however many keys it came with."""
+    source = rows.RETRO_ENQUIRIES
+    if once:
+        source = f"SELECT DISTINCT * EXCLUDE (customer_scrub_key) FROM ({source})"
+    ctes = f"{rows.resolved()}, {rows.enquiry_rows(source)}"
     return _grouped(ctes, "q", "party_code, reference_dt", ENQUIRY_GROUPS.values(), party=False)
 
 
@@ -272,6 +276,14 @@ def statements() -> dict[str, str]:
         f"UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(names)}))",
         "pending_dates": f"SELECT DISTINCT sd AS scrub_output_date FROM orders CROSS JOIN "
         f"{derived._SCRUBS} WHERE sd > DATE '{derived.SCRUB_DATES[0]}'",
+        "wide_retro_enquiry_dedup": retro_enquiries(once=True),
+        "redelivery_run": scrub_accounts(ACCOUNT_GROUPS["grp04_bureau_vintage"]),
+        "delivery_ledger": "SELECT 'accounts' AS sink, scrub_output_date, count(*) AS n "
+        f"FROM ({_N}) GROUP BY ALL UNION ALL SELECT 'enquiries', ref_day, "
+        f"count(DISTINCT customer_scrub_key) FROM ({rows.SCRUB_ENQUIRIES}) GROUP BY ALL",
+        "retro_run_colocated": retro_accounts(ACCOUNT_GROUPS["grp07_delinquency"]),
+        "merge_by_file": "SELECT customer_scrub_key, scrub_output_date, CASE WHEN closed > 2 AND "
+        f"scrub_output_date = DATE '{LATER}' THEN -n ELSE n END AS n, closed FROM ({_N})",
         "partition_overwrite": "SELECT customer_scrub_key, scrub_output_date, "
         f"CASE WHEN scrub_output_date = DATE '{LATER}' THEN closed ELSE n END AS n FROM ({_N})",
         "full_overwrite": f"SELECT customer_scrub_key, scrub_output_date, closed FROM ({_N})",
