@@ -45,7 +45,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all n-grams of the texts in order, and how many each text has.
 
     Letters are lower-cased, everything else is one kind of edge; n-grams with an edge inside are
-    left out, those that begin or end a word stay.
+    left out, those that begin or end a word stay. A word of one letter is an n-gram by itself, so a
+    text with a letter has at least one.
     """
     joined = ("\0" * GRAM).join(["", *(t.lower() for t in texts), ""])
     sizes = np.array([len(t.lower()) + GRAM for t in texts], np.int64)
@@ -54,11 +55,15 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     n = len(codes) - GRAM + 1
     mixed = np.zeros(n, np.uint64)
     inside = np.ones(n, bool)
+    alone = (codes[:n] == 0) & (codes[1 : n + 1] != 0) & (codes[2 : n + 2] == 0)
     for i in range(GRAM):
         part = codes[i : i + n]
         mixed = mixed * np.uint64(0x100000001B3) + part
         if 0 < i < GRAM - 1:
             inside &= part != 0
+    # What follows a single letter is not part of it.
+    mixed[alone] = codes[1 : n + 1][alone]
+    inside |= alone
     # Each text begins one character before its first letter: its first window holds the edge.
     starts = np.cumsum([0, *sizes[:-1]]).astype(np.int64) + GRAM - 1
     ends = np.append(starts[1:], n)
@@ -105,8 +110,8 @@ class Filters:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language with the largest corrected count (ties: the smaller name) and the share of the
-        n-grams that it knows. `und` and 0 for NULL or a text without letters, and for all texts if
-        nothing was learned."""
+        n-grams that it knows, 0 if no language knows any. `und` and 0 for NULL or a text without
+        letters, and for all texts if nothing was learned."""
         step = max(1, BLOCK_COUNTS // max(1, len(self.languages)))
         if len(texts) > step:
             parts = [self.predict(texts[i : i + step]) for i in range(0, len(texts), step)]

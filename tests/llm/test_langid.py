@@ -19,11 +19,12 @@ def plain_grams(text):
     text = "".join(c if c.isalpha() else "\0" for c in text.lower())
     text = "\0" + text + "\0" * 4
     found = [text[i : i + 4] for i in range(len(text) - 3)]
-    return [g for g in found if "\0" not in g[1:3]]
+    one = [g[0] == g[2] == "\0" != g[1] for g in found]
+    return [g[:3] if o else g for g, o in zip(found, one, strict=True) if o or "\0" not in g[1:3]]
 
 
 def test_grams_of_a_batch():
-    texts = ["", "the cat", "a", "Ça va, ÉTÉ!", "12 34", "x" * 9, "İstanbul"]
+    texts = ["", "the cat", "a", "a b c", "é", "x1y", "語", "Ça va, ÉTÉ!", "12 34", "x" * 9, "İstanbul"]
     hashes, sizes = langid.grams(texts)
     assert sizes.tolist() == [len(plain_grams(t)) for t in texts]
     alone = [langid.grams([t])[0] for t in texts]
@@ -48,6 +49,48 @@ def test_held_out_accuracy(spark, filters):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_any_letter_has_a_label(spark, filters):
+    """One-letter words, single ideographs and letters no language knows."""
+    texts = ["a b c", "I", "é", "語", "1 x 2", "ß.", "Ж", "ѩѩѩѩ"]
+    names, scores = filters.predict(texts)
+    assert set(names) <= set(filters.languages) and all(0 <= s <= 1 for s in scores)
+    assert filters.predict(["1 2", "", None, "_-"])[0] == ["und"] * 4
+
+
+def test_filters_and_decision_against_exact_sets(spark):
+    """The same rule with plain sets: what an n-gram filter holds, and the language with most."""
+    rng = random.Random(5)
+    alphabet = {"aa": "abcde", "bb": "cdefg", "cc": "fghij"}
+    rows = [
+        (i, " ".join("".join(rng.choice(alphabet[lang]) for _ in range(rng.randint(1, 6))) for _ in range(30)), lang, "", "")
+        for i in range(150)
+        for lang in [rng.choice(list(alphabet))]
+    ]
+    learned = langid.learn(spark.createDataFrame(rows, SCHEMA))
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    docs = {name: [set(plain_grams(t)) for _, t, lang, *_ in train if lang == name] for name in alphabet}
+    share = {
+        name: {g: sum(g in d for d in own) / max(len(own), langid.FEW_DOCS) for g in set().union(*own)}
+        for name, own in docs.items()
+    }
+    held = {
+        name: {
+            g for g, x in own.items()
+            if sum(g in d for d in docs[name]) >= langid.MIN_DOCS
+            and x >= langid.OWN_SHARE * max(s.get(g, 0) for s in share.values())
+        }
+        for name, own in share.items()
+    }
+    for _, text, *_ in rows:
+        found = plain_grams(text)
+        exact = {name: sum(g in own for g in found) for name, own in held.items()}
+        counts, sizes = learned.counts([text])
+        assert sizes[0] == len(found)
+        assert all(abs(c - exact[n]) <= 1 for n, c in zip(learned.languages, counts[0], strict=True))
+        (name,), (score,) = learned.predict([text])
+        assert exact[name] >= max(exact.values()) - 2 and abs(score - exact[name] / len(found)) < 0.05
+
+
 def test_odd_rows(spark, filters):
     rows = [(1, None, "en", "", ""), (2, "", "", "", ""), (3, "123 !!! \n", None, "", ""),
             (None, "the and of that with this", "fr", "", ""), (4, "le de que la pour dans " * 20_000, "fr", "", ""),
