@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bureauframe.llm.common import durable, importable, n_words
+from bureauframe.llm.common import durable, importable, n_words, spare_name
 
 WEIGHTS = (5, 2, 1)
 MOST = 3  #: times a source or document is taken at most
@@ -102,8 +102,8 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken (words taken, repeats counted) of every
-    row of `docs` (doc_id, source, text).
+    """doc_id, source, size, source_size, target, taken (words taken, repeats counted) and text_hash
+    (xxhash64) of every row of `docs` (doc_id, source, text).
 
     NULL text has size 0 and a NULL source is a source. Rows of one length and source that share a
     doc_id rank next to each other. The result depends on the rows and the seed alone.
@@ -114,6 +114,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) ->
             "source",
             n_words("text").alias("size"),
             F.xxhash64("doc_id", F.lit(seed)).alias("order"),
+            F.xxhash64("text").alias("text_hash"),
         )
     )
     sources = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights)
@@ -149,7 +150,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) ->
         .select("number", "size", "bucket", (F.col("take") - F.col("before")).alias("room"))
         .filter("room > 0")
     )
-    cell = Window.partitionBy("number", "size", "bucket").orderBy("order", "doc_id")
+    cell = Window.partitionBy("number", "size", "bucket").orderBy("order", "doc_id", "text_hash")
     picked = F.coalesce(F.row_number().over(cell) <= F.col("room"), F.lit(False)).cast("long")
     return rows.join(durable(rooms), ["number", "size", "bucket"], "left").select(
         "doc_id",
@@ -158,17 +159,34 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) ->
         "source_size",
         "target",
         (F.col("size") * (F.col("whole") + picked)).alias("taken"),
+        "text_hash",
     )
 
 
 def materialized(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """`docs` as the mix takes them: a row for each time a document is taken, with its columns.
-    `mixed` is the result of `mix`; rows of size 0 cost nothing and stay once."""
-    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
-    plan = mixed.select(F.col("doc_id").alias("_mix_id"), times.alias("_mix_times"))
-    plan = durable(plan.groupBy("_mix_id").agg(F.max("_mix_times").alias("_mix_times")))
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_mix_id"]))
-    copies = F.explode(F.sequence(F.lit(1), F.col("_mix_times")))
-    return joined.filter("_mix_times > 0").select(*(docs[c] for c in docs.columns), copies.alias("_mix_copy")).drop(
-        "_mix_copy"
+    `mixed` is the result of `mix`; rows of size 0 cost nothing and stay once.
+
+    A row is known by doc_id, source and text. Rows equal in these, which the mix may take once more
+    or less, share what it takes of them."""
+    spark_names = [spare_name(docs, n) for n in ("_id", "_source", "_hash", "_times", "_rows", "_copy")]
+    id_, source, hash_, total, equal, copy = spark_names
+    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("long")
+    plan = mixed.select(
+        F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("text_hash").alias(hash_), times.alias(total)
     )
+    plan = plan.groupBy(id_, source, hash_).agg(F.sum(total).alias(total), F.count(F.lit(1)).alias(equal))
+    plan = durable(plan.filter(F.col(total) > 0))
+    met = (
+        F.col("doc_id").eqNullSafe(F.col(id_))
+        & docs["source"].eqNullSafe(F.col(source))
+        & (F.xxhash64("text") == F.col(hash_))
+    )
+    single = docs.join(plan.filter(F.col(equal) == 1), met)
+    several = docs.join(plan.filter(F.col(equal) > 1), met)
+    nth = F.row_number().over(Window.partitionBy(id_, source, hash_).orderBy(F.lit(0)))
+    share = F.floor(F.col(total) / F.col(equal)) + (nth <= F.col(total) % F.col(equal)).cast("long")
+    several = several.withColumn(total, share).filter(F.col(total) > 0)
+    rows = single.unionByName(several)
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(total)))
+    return rows.withColumn(copy, copies).select(*docs.columns)

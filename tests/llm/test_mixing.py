@@ -90,3 +90,26 @@ def test_nothing_and_copies(spark):
     assert out.columns == docs.columns
     times = {r.doc_id: r.taken // r.size if r.size else 1 for r in mixed.collect()}
     assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, n in times.items() for _ in range(n))
+
+
+def test_materialized_copies_of_each_row(spark):
+    """Rows without doc_id, rows that share one, and repeated rows come as often as each is taken."""
+    rows = [(None, " ".join(["w"] * (5 + i)), "a", f"x{i}") for i in range(6)]
+    rows += [(7, "one two three", "a", "p"), (7, "one two three four five six", "a", "q"), (7, "one two three", "b", "r")]
+    rows += [(8, "u v", "b", "s")] * 3 + [(9, None, "a", "t"), (9, "", None, "u")]
+    rows += [(100 + i, "long text " * 40, None, "z") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other string")
+    mixed = mixing.mix(docs).collect()
+    got = mixing.materialized(docs, mixing.mix(docs))
+    assert got.columns == docs.columns
+    want = {}
+    for r in mixed:
+        key = r.doc_id, r.source, r.text_hash
+        want[key] = want.get(key, 0) + (r.taken // r.size if r.size else 1)
+    seen = got.selectExpr("doc_id", "source", "xxhash64(text) AS h").collect()
+    counts = {}
+    for r in seen:
+        counts[tuple(r)] = counts.get(tuple(r), 0) + 1
+    assert counts == {k: n for k, n in want.items() if n}
+    words = got.selectExpr("source", "coalesce(regexp_count(text, '[^ ]+'), 0) AS n").groupBy("source").sum("n").collect()
+    assert {r[0]: r[1] for r in words} == {s: sum(r.taken for r in mixed if r.source == s) for s in {r.source for r in mixed}}
