@@ -111,7 +111,10 @@ def _group_query(name: str) -> Query:
 
 
 def wide_tradeline(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_features(spark, sf, *ACCOUNT_GROUPS))
+    """With the codes that occur learned first, so that the accounts are read once."""
+    accounts = derived.tradeline(spark, sf)
+    values = scrub.learned_codes(accounts)
+    return rounded(scrub.tradeline_features(accounts, derived.master(spark, sf), values=values))
 
 
 def wide_enquiry(spark: SparkSession, sf: str) -> DataFrame:

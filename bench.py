@@ -66,7 +66,9 @@ def main() -> None:
         return frames.assemble(parts, [CUSTOMER_KEY, PARTY, SCRUB_DATE])
 
     queries = {
-        "wide_tradeline": lambda: scrub.tradeline_features(read("tradeline"), read("master")),
+        "wide_tradeline": lambda: scrub.tradeline_features(
+            read("tradeline"), read("master"), values=scrub.learned_codes(read("tradeline"))
+        ),
         "wide_hot_key": hot_key,
         "wide_enquiry": enquiries,
         "wide_retro": lambda: retro.tradeline_features(read("tradeline"), resolved()),

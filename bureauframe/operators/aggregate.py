@@ -7,7 +7,7 @@ owns a large part of the rows reaches the reducers as one row per map task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from bureauframe.plans.features import Feature, FeatureGroup
 
 _FLAGS_PER_MASK = 32
+_VALUES_PER_MASK = 63
+MAX_VALUES = 504  #: of a distinct count that travel as bits, in eight masks
 
 
 def _aggregate_sql(feature: Feature) -> str:
@@ -55,14 +57,38 @@ def gather(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return gathered.drop("_gather")
 
 
-def _listed_bits(feature: Feature) -> tuple[str, str]:
-    """A distinct count as bits, one for each listed value: the mask and how to count it."""
-    values = ", ".join(f"'{v}'" for v in feature.listed)
-    place = f"array_position(array({values}), {feature.value})"
-    hit = f"CASE WHEN {place} > 0 THEN shiftleft(1L, CAST({place} - 1 AS INT)) ELSE 0L END"
-    if feature.where:
-        hit = f"CASE WHEN {feature.where} THEN {hit} ELSE 0L END"
-    return f"bit_or({hit})", f"bit_count(_bits_{feature.name})"
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _value_masks(feature: Feature, values: Sequence[str]) -> tuple[dict[str, str], str]:
+    """A distinct count of known values as bits, one for each: the masks, and how to count them."""
+    masks = {}
+    for start in range(0, len(values), _VALUES_PER_MASK):
+        known = ", ".join(map(_literal, values[start : start + _VALUES_PER_MASK]))
+        place = f"array_position(array({known}), {feature.value})"
+        hit = f"CASE WHEN {place} > 0 THEN shiftleft(1L, CAST({place} - 1 AS INT)) ELSE 0L END"
+        if feature.where:
+            hit = f"CASE WHEN {feature.where} THEN {hit} ELSE 0L END"
+        masks[f"_bits{start // _VALUES_PER_MASK}_{feature.name}"] = f"bit_or({hit})"
+    return masks, " + ".join(f"bit_count({name})" for name in masks) or "0"
+
+
+def learned_values(rows: DataFrame, groups: Iterable[FeatureGroup]) -> dict[str, list[str]]:
+    """For each distinct count of texts the values in `rows` beyond its listed ones, by a pass over
+    one column: a superset, for conditions are not looked at. With them `feature_frame` reads its
+    rows once. A feature with more values than MAX_VALUES is left out."""
+    found = {}
+    for feature in (f for group in groups for f in group.features if f.kind == "distinct"):
+        values = rows.selectExpr(f"{feature.value} AS value").filter("value IS NOT NULL")
+        if not isinstance(values.schema["value"].dataType, T.StringType):
+            continue
+        more = values.filter(~F.col("value").isin(*feature.listed)) if feature.listed else values
+        room = MAX_VALUES - len(feature.listed)
+        own = [row.value for row in more.distinct().limit(room + 1).collect()]
+        if len(own) <= room:
+            found[feature.name] = sorted(own)
+    return found
 
 
 def _unlisted(rows: DataFrame, keys: Sequence[str], feature: Feature) -> DataFrame:
@@ -94,13 +120,16 @@ def feature_frame(
     keys: Sequence[str],
     groups: Iterable[FeatureGroup],
     null_keys: bool = True,
+    values: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One row per key with the features of all groups, in catalogue order. Without `null_keys` no
     key is NULL, and rows that are already partitioned by some of them are not shuffled again.
 
     Distinct counts never enter the wide aggregation as sets, which would turn all of it into
-    object aggregation: listed values travel as bits, others are counted apart and joined.
+    object aggregation: known values travel as bits, others are counted apart and joined. `values`
+    (see `learned_values`) has all that occur beyond the listed ones, by feature; then none is apart.
     """
+    values = values or {}
     features = [feature for group in groups for feature in group.features]
     distincts = [f for f in features if f.kind == "distinct"]
     packed, unpacked = _masks([f for f in features if f.kind == "flag"])
@@ -109,17 +138,19 @@ def feature_frame(
         for f in features
         if f.kind not in ("flag", "derived", "distinct")
     }
-    bits = {f"_bits_{f.name}": _listed_bits(f)[0] for f in distincts if f.listed}
+    masks = {f.name: _value_masks(f, [*f.listed, *values.get(f.name, ())]) for f in distincts}
+    bits = {name: sql for own, _ in masks.values() for name, sql in own.items()}
     aggregates = [F.expr(f"{sql} AS {name}") for name, sql in (plain | packed | bits).items()]
     by, back = list(keys), list(keys)
-    if distincts and null_keys:
+    apart = [f for f in distincts if f.name not in values]
+    if apart and null_keys:
         rows, by, back = _null_free(rows, keys)
     grouped = rows.groupBy(*by).agg(*aggregates or [F.count(F.lit(1)).alias("_rows")])
-    counted = {}
-    for feature in distincts:
+    counted = {f.name: f"CAST({masks[f.name][1]} AS BIGINT)" for f in distincts}
+    for feature in apart:
         grouped = grouped.join(_unlisted(rows, by, feature), by, "left")
-        listed = _listed_bits(feature)[1] if feature.listed else "0"
-        counted[feature.name] = f"CAST({listed} + coalesce(_more_{feature.name}, 0) AS BIGINT)"
+        more = f"coalesce(_more_{feature.name}, 0)"
+        counted[feature.name] = f"CAST({masks[feature.name][1]} + {more} AS BIGINT)"
 
     opened = grouped.selectExpr(
         *back, *plain, *(f"{sql} AS {name}" for name, sql in (unpacked | counted).items())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,7 +15,7 @@ from bureauframe.operators.aggregate import feature_frame
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS
 from bureauframe.plans.features import FeatureGroup
 from bureauframe.plans.rows import account_rows, enquiry_events, enquiry_rows
-from bureauframe.plans.scrub import Computation
+from bureauframe.plans.scrub import Computation, learned_codes
 from bureauframe.session import tuned
 from bureauframe.sources import layout, sinks, tables
 from bureauframe.sources.schemas import CUSTOMER_KEY, PARTY, REFERENCE_DATE, RETRO_KEYS, SCRUB_DATE
@@ -27,17 +27,20 @@ def tradeline_features(
     groups: Sequence[FeatureGroup] = ACCOUNT_GROUPS,
     strict: bool = False,
     colocated: bool = False,
+    values: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One row per resolved reference with at least one account in its delivery.
 
     A reference has one delivery and customer, so these are keys of the aggregation too: the
     exchange that brought accounts to their references serves it as well. `colocated` says that the
-    accounts are laid out by customer (`sources.layout`): then neither shuffles them.
+    accounts are laid out by customer (`sources.layout`): then neither shuffles them. With `values`
+    from `scrub.learned_codes` they are read once.
     """
     accounts = asof.retro_tradeline(tradeline, resolved, colocated)
     keys = [*RETRO_KEYS, CUSTOMER_KEY, SCRUB_DATE]
     rows = account_rows(accounts, keys, REFERENCE_DATE, strict)
-    return feature_frame(rows, keys, groups, null_keys=False).drop(CUSTOMER_KEY, SCRUB_DATE)
+    features = feature_frame(rows, keys, groups, null_keys=False, values=values)
+    return features.drop(CUSTOMER_KEY, SCRUB_DATE)
 
 
 def _account_features(
@@ -46,15 +49,14 @@ def _account_features(
     """`tradeline_features` of a source; of one laid out by customer, with its heavy customers."""
     laid = layout.is_colocated(spark, tradeline)
     parts = {tradeline: laid} | ({layout.heavy_table(tradeline): False} if laid else {})
-    return reduce(
-        DataFrame.unionByName,
-        (
-            tradeline_features(
-                tables.read_tradeline(spark, name), resolved, what.account_groups, what.strict, colocated
-            )
-            for name, colocated in parts.items()
-        ),
-    )
+    made = []
+    for name, colocated in parts.items():
+        accounts = tables.read_tradeline(spark, name)
+        values = learned_codes(accounts, what.account_groups)
+        made.append(
+            tradeline_features(accounts, resolved, what.account_groups, what.strict, colocated, values)
+        )
+    return reduce(DataFrame.unionByName, made)
 
 
 def enquiry_features(

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from accounts import AS_OF, KEYS, features, frame
+from bureauframe.operators import aggregate
 from bureauframe.operators.aggregate import feature_frame, gather
 from bureauframe.plans.catalogue import ACCOUNT_GROUPS, ENQUIRY_GROUPS, GROUPS
 from bureauframe.plans.features import ACCOUNT, FeatureGroup, count, distinct
@@ -162,3 +163,21 @@ def test_month_end_rule(spark):
     row = features(spark, {"open_dt": "28/02/2023"})["C1"]  # both month ends: whole months
     assert row.bureaage_months == 11.0
     assert AS_OF == dt.date(2024, 1, 31)
+
+
+def test_learned_values_need_no_second_pass(spark, tmp_path, monkeypatch):
+    """More values than a mask has bits, quotes, and a limit beyond which values are counted apart."""
+    rows = [(f"c{i % 5}", f"v{i}'\\" if i % 4 else None, i % 3 == 0) for i in range(400)] + [(None, "v1", True)]
+    spark.createDataFrame(rows, "k string, v string, good boolean").write.parquet(str(tmp_path / "rows"))
+    frame = spark.read.parquet(str(tmp_path / "rows"))
+    group = FeatureGroup("mine", ACCOUNT, (distinct("n", "v"), distinct("m", "v", "good", ("v1", "zz"))))
+    want = sorted(map(str, aggregate.feature_frame(frame, ["k"], [group]).collect()))
+    values = aggregate.learned_values(frame, [group])
+    assert len(values["n"]) == 301 and len(values["m"]) == 300
+    once = aggregate.feature_frame(frame, ["k"], [group], values=values)
+    assert sorted(map(str, once.collect())) == want
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    monkeypatch.setattr(aggregate, "MAX_VALUES", 301)
+    assert list(aggregate.learned_values(frame, [group])) == ["n"]
+    part = aggregate.feature_frame(frame, ["k"], [group], values=aggregate.learned_values(frame, [group]))
+    assert sorted(map(str, part.collect())) == want
