@@ -71,7 +71,9 @@ def main() -> None:
         ),
         "wide_hot_key": hot_key,
         "wide_enquiry": enquiries,
-        "wide_retro": lambda: retro.tradeline_features(read("tradeline"), resolved()),
+        "wide_retro": lambda: retro.tradeline_features(
+            read("tradeline"), resolved(), values=scrub.learned_codes(read("tradeline"))
+        ),
         "wide_retro_enquiry": lambda: retro.enquiry_features(
             read("enquiry"), resolved(), read("master")
         ),
