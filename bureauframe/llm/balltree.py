@@ -2,8 +2,13 @@
 
 A node is a ball (centre and radius) around its rows, so no row of it scores above
 q.centre + |q| * radius. A block of queries walks a tree best bound first and leaves out, query by
-query, the nodes that cannot beat the current k-th score. Every block first searches one shard; the
-k-th scores found there travel with it to all other shards, where the search starts from them.
+query, the nodes that cannot beat the current k-th score.
+
+Rows are sharded by cells around centres learned from a bounded sample, so that shards lie apart. A
+query searches one shard of its most promising cell first, then the next cells in the order of their
+bounds, then all others; before each round the cells whose ball cannot beat its k-th score so far are
+dropped, and neither the query nor a tree travels for them. Centres and rounds decide the work only,
+never the result.
 """
 
 from __future__ import annotations
@@ -17,12 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bureauframe.llm.common import durable, importable
+from bureauframe.llm.common import durable, importable, partitions
 from bureauframe.llm.vectors import TOP, best, is_query, matrix, usable
 
 SCALE = 64
 SHARD_ROWS = 4_096
-BLOCK_QUERIES = 1_024
+BLOCK_QUERIES = 4_096  #: queries that meet a tree together, about
+CELLS = 256  #: most cells; of all rows, the driver and the workers hold their balls only
+CELL_SAMPLE = 32  #: rows for each cell that its centre is learned from, about
+WAVE = 8  #: cells of a query's second round
+TASKS = 32  #: most tasks of a round, times the shuffle partitions
+SEED = 11
 LEAF_ROWS = 64
 _EXACT = 2**52  #: integers below this are exact in double precision
 _NONE = np.iinfo(np.int64).min
@@ -138,6 +148,43 @@ def _small(rows: np.ndarray) -> np.ndarray:
     return rows.astype(np.int16 if most < 2**15 else np.int32 if most < 2**31 else np.int64)
 
 
+def centres(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Centres of at most `cells` cells, by a few rounds of k-means from evenly spaced rows."""
+    if not len(sample):
+        return np.zeros((1, sample.shape[1]))
+    x = sample.astype(np.float64)
+    out = x[np.linspace(0, len(x) - 1, min(cells, len(x))).astype(int)]
+    for _ in range(6):
+        own = nearest(x, out)
+        sizes = np.bincount(own, minlength=len(out))
+        sums = np.zeros_like(out)
+        np.add.at(sums, own, x)
+        out = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], out)
+    return out
+
+
+def nearest(x: np.ndarray, middles: np.ndarray) -> np.ndarray:
+    return np.argmin((middles**2).sum(axis=1) - 2 * (x @ middles.T), axis=1)
+
+
+def bounds(queries: np.ndarray, middles: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """What no row of a cell scores above, for each query and cell; -inf for cells without rows."""
+    length = np.sqrt((queries**2).sum(axis=1))[:, None]
+    slack = 1e-9 * (1 + length * (np.sqrt((middles**2).sum(axis=1)) + np.maximum(reach, 0)))
+    return np.where(reach >= 0, queries @ middles.T + length * reach + slack, -np.inf)
+
+
+def blocks_of(asked: dict[int, int], pieces: dict[int, int], one_piece: bool) -> tuple[dict[int, int], int]:
+    """Blocks of queries for each cell that `asked` queries go to, and the pairs of block and tree."""
+    size = {c: BLOCK_QUERIES * (pieces[c] if one_piece else 1) for c in asked}
+    blocks = {c: -(-n // size[c]) for c, n in asked.items()}
+    return blocks, sum(n * pieces[c] for c, n in blocks.items())
+
+
+def _lookup(values: dict[int, int]):
+    return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))[F.col("cell")]
+
+
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -145,75 +192,126 @@ def search_all(vectors: DataFrame) -> DataFrame:
     """query_id, rank, vec_id, score: the exact TOP of every query over all shards.
 
     Components are floor(64 * x). A query sees no row with its own vec_id. Rows that `usable`
-    leaves out take no part; zero vectors do. Scores must fit a long.
+    leaves out take no part; zero vectors do. Query rows that share a vec_id share its TOP. Scores
+    must fit a long.
     """
+    spark = vectors.sparkSession
     integers = F.transform("v", lambda x: F.floor(x * SCALE).cast("long"))
     rows = durable(usable(importable(vectors), zero=True).select("vec_id", integers.alias("v")))
-    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query(), 1)).alias("q")).first()
-    shards, blocks = -(-counts["n"] // SHARD_ROWS), max(1, -(-counts["q"] // BLOCK_QUERIES))
+    total = rows.count()
+    cells = min(CELLS, max(1, -(-total // SHARD_ROWS)))
+    drawn = int(min(1.0, CELL_SAMPLE * cells / max(1, total)) * (1 << 30))
+    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(1 << 30)) < drawn).toArrow()
+    order = np.argsort(sample.column("vec_id").to_numpy(), kind="stable")
+    if not total:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if len(order):
+        learned = centres(matrix(sample.column("v"))[order], cells)
+    else:
+        learned = np.zeros((1, len(rows.first()["v"])))
+    shared = spark.sparkContext.broadcast(learned)
 
-    def planted(own: pa.Table) -> pa.Table:
-        tree = build(own.column("vec_id").to_numpy(), _small(matrix(own.column("v"), np.int64)))
-        return pa.table({"shard": own.column("shard").slice(0, 1), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+    def celled(batches):
+        for batch in batches:
+            if batch.num_rows:
+                own = nearest(matrix(batch.column("v")), shared.value)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int32())], ["vec_id", "v", "cell"])
 
-    def packed(own: pa.Table) -> pa.Table:
-        ids = own.column("vec_id").to_numpy()
-        block = (ids, _small(matrix(own.column("v"), np.int64)), np.full(len(ids), _NONE))
-        return pa.table({"block": own.column("block").slice(0, 1), "queries": pa.array([pickle.dumps(block)], pa.binary())})
+    def planted(key: tuple, own: pa.Table) -> pa.Table:
+        x = matrix(own.column("v"), np.int64)
+        away = np.sqrt(((x - shared.value[key[0].as_py()]) ** 2).sum(axis=1))
+        tree = pickle.dumps(build(own.column("vec_id").to_numpy(), _small(x)))
+        return pa.table(
+            {"cell": pa.array([key[0].as_py()], pa.int32()), "piece": pa.array([key[1].as_py()], pa.int32()),
+             "reach": [float(away.max())], "tree": pa.array([tree], pa.binary())}
+        )
 
-    def walk(tree: bytes, queries: bytes):
-        own, q, floor = pickle.loads(queries)
-        at, ids, scores = search(pickle.loads(tree), own, q, floor)
-        return own, q, floor, at, ids, scores
+    placed = durable(rows.mapInArrow(celled, "vec_id long, v array<long>, cell int"))
+    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # CELLS rows
+    pieces = {c: -(-n // SHARD_ROWS) for c, n in sizes.items()}
+    piece = F.pmod(F.xxhash64("vec_id"), _lookup(pieces)).cast("int")
+    trees = placed.withColumn("piece", piece).groupBy("cell", "piece")
+    trees = durable(trees.applyInArrow(planted, "cell int, piece int, reach double, tree binary"))
+    reach = np.full(len(learned), -1.0)
+    for r in trees.groupBy("cell").agg(F.max("reach").alias("reach")).collect():  # CELLS rows
+        reach[r["cell"]] = r["reach"]
 
-    def first(batches):
-        """Search the first shard and put the k-th scores into the block."""
-        for batch in batches:
-            for block, shard, tree, queries in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own, q, floor, at, ids, scores = walk(tree, queries)
-                order = np.lexsort((-scores, at))
-                at, ids, scores = at[order], ids[order], scores[order]
-                full = np.bincount(at, minlength=len(own)) >= TOP
-                last = np.searchsorted(at, np.arange(len(own))) + TOP - 1
-                floor[full] = scores[last[full]]
-                yield pa.RecordBatch.from_pydict(
-                    {"block": [block], "first": [shard], "queries": [pickle.dumps((own, q, floor))],
-                     "found": [[{"query_id": a, "vec_id": b, "score": c} for a, b, c in
-                                zip(own[at].tolist(), ids.tolist(), scores.tolist(), strict=True)]]},
-                    pa.schema([("block", pa.int32()), ("first", pa.int32()), ("queries", pa.binary()),
-                               ("found", pa.list_(pa.struct([("query_id", pa.int64()), ("vec_id", pa.int64()),
-                                                             ("score", pa.int64())])))]),
-                )
-
-    def rest(batches):
+    def routed(first: int, last: int):
+        def run(batches):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                q, floor = matrix(batch.column("v")), batch.column("floor").to_numpy().astype(np.float64)
+                most = bounds(q, shared.value, reach)
+                order = np.argsort(-most, axis=1, kind="stable")
+                alive = (most >= floor[:, None]) & (most > -np.inf)
+                to = [row[live[row]].tolist() for row, live in zip(order[:, first:last], alive, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(order[:, 0], pa.int32()), pa.array(to, pa.list_(pa.int32()))],
+                    ["vec_id", "v", "floor", "home", "cells"],
+                )
+
+        return run
+
+    def packed(key: tuple, own: pa.Table) -> pa.Table:
+        columns = [own.column(c).to_numpy() for c in ("vec_id", "floor", "skip")]
+        block = pickle.dumps((*columns, _small(matrix(own.column("v"), np.int64))))
+        return pa.table(
+            {"cell": pa.array([key[0].as_py()], pa.int32()), "piece": pa.array([key[1].as_py()], pa.int32()),
+             "block": pa.array([key[2].as_py()], pa.int32()), "queries": pa.array([block], pa.binary())}
+        )
+
+    def walk(batches):
         for batch in batches:
-            for tree, queries in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own, _, _, at, ids, scores = walk(tree, queries)
+            for piece, tree, queries in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own, floor, skip, q = pickle.loads(queries)
+                use = skip != piece
+                at, ids, scores = search(pickle.loads(tree), own[use], q[use], floor[use])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[at]), pa.array(ids), pa.array(scores)], ["query_id", "vec_id", "score"]
+                    [pa.array(own[use][at]), pa.array(ids), pa.array(scores)], ["query_id", "vec_id", "score"]
                 )
 
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, shards))).cast("int")
-    trees = durable(
-        rows.withColumn("shard", shard).groupBy("shard").applyInArrow(planted, "shard int, tree binary")
-    )
-    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")
-    asked = rows.filter(is_query()).withColumn("block", block)
-    asked = durable(asked.groupBy("block").applyInArrow(packed, "block int, queries binary"))
-    # A block starts at a shard that has rows.
-    present = [r["shard"] for r in trees.select("shard").collect()]  # a number for each shard
-    if not present:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    start = F.element_at(F.array(*map(F.lit, sorted(present))), F.pmod("block", F.lit(len(present))) + 1)
-    pilot = durable(
-        asked.withColumn("shard", start)
-        .join(trees, "shard")
-        .select("block", "shard", "tree", "queries")
-        .mapInArrow(first, f"block int, first int, queries binary, found array<struct<{RESULT.replace(' ', ': ').replace(',:', ',')}>>")
-    )
-    others = pilot.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("shard != first")
-    more = others.join(trees, "shard").select("tree", "queries").repartition(shards * blocks).mapInArrow(rest, RESULT)
-    found = pilot.select(F.explode("found").alias("f")).select("f.*").unionByName(more)
+    def visit(queries: DataFrame, first: int, last: int, one_piece: bool) -> DataFrame | None:
+        """Search the cells `first` to `last` of each query's order: one piece of the home cell, or
+        all pieces but that one."""
+        schema = "vec_id long, v array<long>, floor long, home int, cells array<int>"
+        routes = durable(queries.select("vec_id", "v", "floor").mapInArrow(routed(first, last), schema))
+        counts = routes.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()  # CELLS rows
+        if not counts:
+            return None
+        blocks, pairs = blocks_of({r["cell"]: r["count"] for r in counts}, pieces, one_piece)
+        own = F.pmod(F.xxhash64("vec_id", F.lit(2)), _lookup(pieces)).cast("int")
+        asked = routes.withColumn("cell", F.explode("cells")).withColumn(
+            "block", F.pmod(F.xxhash64("vec_id", F.lit(1)), _lookup(blocks)).cast("int")
+        )
+        if one_piece:
+            asked = asked.select("vec_id", "v", "floor", "cell", "block", own.alias("piece"), F.lit(-1).alias("skip"))
+        else:
+            skip = F.when(F.col("cell") == F.col("home"), own).otherwise(-1)
+            asked = asked.select("vec_id", "v", "floor", "cell", "block", F.lit(-1).alias("piece"), skip.alias("skip"))
+        keys = ["cell", "piece", "block"]
+        packs = asked.groupBy(*keys).applyInArrow(packed, "cell int, piece int, block int, queries binary")
+        if not one_piece:
+            packs = packs.withColumn("piece", F.explode(F.sequence(F.lit(0), _lookup(pieces) - 1)))
+        here = trees.filter(_lookup(blocks).isNotNull())
+        here = here.withColumn("block", F.explode(F.sequence(F.lit(0), _lookup(blocks) - 1)))
+        tasks = min(pairs, TASKS * partitions(spark))
+        both = packs.repartition(tasks, *keys).join(here.repartition(tasks, *keys), keys)
+        return both.select("piece", "tree", "queries").mapInArrow(walk, RESULT)
+
+    queries = rows.filter(is_query()).withColumn("floor", F.lit(_NONE))
+    found = visit(queries, 0, 1, True)
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for first, last in ((0, WAVE), (WAVE, len(learned))):
+        if first >= len(sizes):
+            break
+        found = durable(best(found, "long")).drop("rank")
+        kth = found.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= TOP, F.min("score")).alias("kth"))
+        floors = rows.filter(is_query()).join(kth, F.col("vec_id") == F.col("query_id"), "left")
+        more = visit(floors.withColumn("floor", F.coalesce("kth", F.lit(_NONE))), first, last, False)
+        if more is not None:
+            found = found.unionByName(more)
     return best(found, "long")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bureauframe.llm.common import durable, importable
-from bureauframe.llm.vectors import QUERY_STEP, TOP, best, is_query, matrix, usable
+from bureauframe.llm.vectors import TOP, best, is_query, matrix, usable
 
 SAMPLE = 6_144  #: rows the partitions are learned from, about, at least
 SAMPLE_A_PART = 24  #: and of these for each part, at least
@@ -178,6 +178,11 @@ def scored(queries: np.ndarray, ids: np.ndarray, x: np.ndarray, own: np.ndarray)
     return at[kept], ids[row[kept]], score[kept]
 
 
+def blocks_of(visits: dict[int, int]) -> dict[int, int]:
+    """Blocks of queries for each part, from the number of queries routed to it."""
+    return {part: -(-n // BLOCK_QUERIES) for part, n in visits.items()}
+
+
 def search(vectors: DataFrame) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest found of every query, nearest first.
 
@@ -185,7 +190,7 @@ def search(vectors: DataFrame) -> DataFrame:
     that `usable` leaves out take no part; no rows, no result.
     """
     rows = durable(usable(importable(vectors), zero=False))
-    router, total = learn(rows)
+    router, _ = learn(rows)
     shared = rows.sparkSession.sparkContext.broadcast(router)
 
     def filed(batches):
@@ -209,21 +214,25 @@ def search(vectors: DataFrame) -> DataFrame:
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     cells = F.create_map(*(F.lit(x) for p, n in sizes.items() for x in (p, -(-n // CELL_ROWS))))
-    blocks = -(-total // (QUERY_STEP * BLOCK_QUERIES))
-    stored = index.select(
+    # Stored rows are copied once for each block of the queries that were routed to their part.
+    routes = durable(rows.filter(is_query()).mapInArrow(routed, "vec_id long, v array<double>, parts array<int>"))
+    to_part = routes.select(F.explode("parts").alias("part")).groupBy("part").count().collect()  # PARTS rows
+    visits = {r["part"]: r["count"] for r in to_part if r["part"] in sizes}
+    if not visits:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    blocks = F.create_map(*(F.lit(x) for p, n in blocks_of(visits).items() for x in (p, n)))[F.col("part")]
+    stored = index.filter(blocks.isNotNull()).select(
         "vec_id", "v", "part",
         F.pmod(F.xxhash64("vec_id"), cells[F.col("part")]).cast("int").alias("cell"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
     )
     asked = (
-        rows.filter(is_query())
-        .mapInArrow(routed, "vec_id long, v array<double>, parts array<int>")
-        .select("vec_id", "v", F.explode("parts").alias("part"))
-        .filter(cells[F.col("part")].isNotNull())
+        routes.select("vec_id", "v", F.explode("parts").alias("part"))
+        .filter(blocks.isNotNull())
         .select(
             "vec_id", "v", "part",
             F.explode(F.sequence(F.lit(0), cells[F.col("part")] - 1)).alias("cell"),
-            F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
+            F.pmod(F.xxhash64("vec_id", F.lit(1)), blocks).cast("int").alias("block"),
         )
     )
 

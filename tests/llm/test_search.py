@@ -50,6 +50,54 @@ def test_ball_trees_against_all_pairs(spark, monkeypatch, rows):
     assert got == sorted((q, k, i, int(s)) for q, k, i, s in plain(data, True, 64))
 
 
+def groups(n):
+    """`n` rows around 16 distant points."""
+    rng = np.random.default_rng(5)
+    middle = np.eye(4)[np.arange(16) % 4] * ((np.arange(16) // 4 + 1) * 20)[:, None]
+    return [(i, (middle[i % 16] + rng.normal(size=4)).tolist()) for i in range(n)]
+
+
+def test_trees_travel_only_where_a_query_may_go(spark, monkeypatch):
+    monkeypatch.setattr(balltree, "BLOCK_QUERIES", 20)
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 100)
+    monkeypatch.setattr(balltree, "WAVE", 2)
+    shipped = {}
+    inner = balltree.blocks_of
+    for n in (1600, 6400):
+        def counted(*args, n=n):
+            out = inner(*args)
+            shipped[n] = shipped.get(n, 0) + out[1]
+            return out
+
+        monkeypatch.setattr(balltree, "blocks_of", counted)
+        data = groups(n)
+        got = sorted(map(tuple, balltree.search_all(frame(spark, data)).collect()))
+        assert got == sorted((q, k, i, int(s)) for q, k, i, s in plain(data, True, 64))
+        blocks, shards = n // 20 // 20, n // 100
+        assert shipped[n] * 6 < shards * blocks
+    assert shipped[6400] < 16 * shipped[1600]
+
+
+def test_blocks_follow_the_queries_of_a_part(monkeypatch):
+    monkeypatch.setattr(routing, "BLOCK_QUERIES", 10)
+    assert routing.blocks_of({0: 1, 1: 10, 2: 31}) == {0: 1, 1: 1, 2: 4}
+    monkeypatch.setattr(balltree, "BLOCK_QUERIES", 10)
+    assert balltree.blocks_of({0: 35, 3: 10}, {0: 2, 3: 5}, False) == ({0: 4, 3: 1}, 13)
+    assert balltree.blocks_of({0: 35, 3: 10}, {0: 2, 3: 5}, True) == ({0: 2, 3: 1}, 9)
+
+
+def test_cell_bounds_hold():
+    rng = np.random.default_rng(6)
+    x, q = rng.integers(-99, 99, (400, 5)), rng.integers(-99, 99, (30, 5)).astype(float)
+    middles = balltree.centres(x[:64], 7)
+    own = balltree.nearest(x, middles)
+    reach = np.array([np.sqrt(((x[own == c] - m) ** 2).sum(axis=1)).max(initial=-1) for c, m in enumerate(middles)])
+    most = balltree.bounds(q, middles, reach)
+    for c in range(len(middles)):
+        assert (q @ x[own == c].T <= most[:, c, None]).all()
+    assert balltree.bounds(q, middles, np.full(len(middles), -1.0)).max() == -np.inf
+
+
 def test_ball_tree_prunes_and_survives_large_values():
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.integers(-50, 50, (500, 3)) + c for c in ([0, 0, 900], [0, 900, 0], [900, 0, 0])])
