@@ -13,7 +13,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import struct
+import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from bureauframe.llm.common import importable
 LEAF_CHARS = 8_192  #: longest piece that is encoded at once
 TASK_CHARS = 262_144  #: longer texts are cut into segments that are encoded by separate tasks
 WINDOW_TOKENS = 12  #: tokens on each side of a join that are encoded again at first
-CACHE_UNITS = 150_000  #: units whose ids a worker remembers; then it starts afresh
+CACHE_UNITS = 300_000  #: words, and other units, whose ids a worker remembers
 CACHED_CHARS = 32  #: longer units are not remembered
 
 #: Rows handed to Python are regrouped so that this many characters are worked on at once.
@@ -49,8 +50,12 @@ def _reads_on(unit: str) -> bool:
     return unit[-1] == "'" or unit[-2:].isspace() and len(unit) > 1
 
 
+#: Whether native unsigned integers are anything but little-endian 32-bit numbers.
+_WIDE = array("I").itemsize != 4 or sys.byteorder != "little"
+
+
 def _blob(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return np.array(ids, "<u4").tobytes() if _WIDE else array("I", ids).tobytes()
 
 
 def numbers(blob: bytes) -> list[int]:
@@ -65,42 +70,52 @@ class _NoUnit(Exception):
     """A unit that may not be encoded by itself."""
 
 
-class _Pieces(dict):
-    """Ids of units, remembered up to a bound."""
+class _Remembered(dict):
+    """Ids by text, in two generations of half of CACHE_UNITS: what was met since the older one was
+    closed survives the next."""
 
     def __init__(self, encoder: Encoder) -> None:
         self.encoder = encoder
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, unit: str) -> bytes:
-        if _reads_on(unit) or _odd_letters(unit):
-            raise _NoUnit
-        if len(self) >= CACHE_UNITS:
+    def keep(self, text: str, ids: bytes) -> None:
+        if len(self) >= CACHE_UNITS // 2:
+            self.older = dict(self)
             self.clear()
-        out = self.encoder.piece(unit)
+        self[text] = ids
+
+
+class _Pieces(_Remembered):
+    """Ids of units."""
+
+    def __missing__(self, unit: str) -> bytes:
+        out = self.older.get(unit)
+        if out is None:
+            if _reads_on(unit) or _odd_letters(unit):
+                raise _NoUnit
+            out = self.encoder.piece(unit)
         if len(unit) <= CACHED_CHARS:
-            self[unit] = out
+            self.keep(unit, out)
         return out
 
 
-class _Words(dict):
-    """Ids of words with the space before them, remembered up to a bound."""
-
-    def __init__(self, encoder: Encoder) -> None:
-        self.encoder = encoder
+class _Words(_Remembered):
+    """Ids of words with the space before them. A word before a comma or full stop is remembered by
+    itself too."""
 
     def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace():
-            raise _NoWord
-        if word.isalpha():
-            out = self.encoder.piece(" " + word)
-        elif word[-1] in ".," and word[:-1].isalpha():
-            out = self.encoder.pieces[" " + word[:-1]] + self.encoder.pieces[word[-1]]
-        else:
-            out = self.encoder.cut(" " + word)
+        out = self.older.get(word)
+        if out is None:
+            if word.isalpha():
+                out = self.encoder.piece(" " + word)
+            elif not word or word[0].isspace():
+                raise _NoWord
+            elif word[-1] in ".," and word[:-1].isalpha():
+                out = self[word[:-1]] + self.encoder.pieces[word[-1]]
+            else:
+                out = self.encoder.cut(" " + word)
         if len(word) <= CACHED_CHARS and "\n" not in word:
-            if len(self) >= CACHE_UNITS:
-                self.clear()
-            self[word] = out
+            self.keep(word, out)
         return out
 
 
@@ -185,9 +200,10 @@ class Encoder:
 
     def piece(self, unit: str) -> bytes:
         """A run of letters is one piece: it goes to the merges of the library directly."""
-        if unit.removeprefix(" ").isalpha():
-            if unit.isascii():
-                piece = "\u0120" + unit[1:] if unit[0] == " " else unit
+        body = unit.removeprefix(" ")
+        if body.isalpha():
+            if body.isascii():
+                piece = unit if len(body) == len(unit) else "\u0120" + body
             else:
                 piece = unit.encode().decode("latin-1").translate(self.alphabet)
             return _blob([t.id for t in self.model.tokenize(piece)])
