@@ -101,33 +101,47 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, lanes
 
 
-def decode(words: np.ndarray) -> np.ndarray:
-    """All ids. A word after an escape is an id, whatever its lowest bits look like."""
+def decode(words: np.ndarray, lanes: np.ndarray | None = None) -> np.ndarray:
+    """All ids. `lanes` has the word each lane starts at; without it the words are one lane. The next
+    word of every lane is read at the same time, so a word after an escape is never taken for one
+    with a selector."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
     selector = (words & np.uint64(15)).astype(np.int64)
-    escaped = np.flatnonzero(selector == ESCAPE)
-    raw = np.zeros(len(words), bool)
-    last = -2
-    for i in escaped:  # escapes are rare: ids of more than 60 bits
-        if i != last + 1 or not raw[i]:
-            if i + 1 < len(words):
-                raw[i + 1] = True
-        last = i
-    counts = np.array([0, *COUNTS, 0], np.int64)[selector]
-    counts[raw] = 1
-    place = np.cumsum(counts) - counts
-    out = np.zeros(int(counts.sum()), np.uint64)
-    for s in np.unique(selector[~raw]):
+    counts = np.array([0, *COUNTS, 1], np.int64)
+    at = np.zeros(1, np.int64) if lanes is None else np.asarray(lanes, np.int64)
+    ends = np.append(at[1:], len(words))
+    if (selector == ESCAPE).any():
+        seen = []
+        while len(at):
+            seen.append(at)
+            at = at + np.where(selector[at] == ESCAPE, 2, 1)
+            live = at < ends
+            at, ends = at[live], ends[live]
+        starts = np.sort(np.concatenate(seen))
+    else:  # every word is one of its own
+        starts = np.arange(len(words))
+    chosen = selector[starts]
+    size = counts[chosen]
+    place = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint64)
+    for s in np.unique(chosen):
+        own, to = starts[chosen == s], place[chosen == s]
         if s == ESCAPE:
+            out[to] = words[own + 1]
             continue
-        own = np.flatnonzero((selector == s) & ~raw)
         count, width = COUNTS[s - 1], WIDTHS[s - 1]
         mask = np.uint64((1 << width) - 1)
         for k in range(count):
-            out[place[own] + k] = words[own] >> np.uint64(4 + k * width) & mask
-    out[place[raw]] = words[raw]
+            out[to + k] = words[own] >> np.uint64(4 + k * width) & mask
     return out
 
 
+def lane(words: np.ndarray, lanes: np.ndarray, k: int) -> np.ndarray:
+    """Ids k * LANE to (k + 1) * LANE, from their own words alone."""
+    return decode(words[lanes[k] : lanes[k + 1] if k + 1 < len(lanes) else len(words)])
+
+
 BLOCK = (
     "part int, block int, first long, doc_ids array<long>, lengths array<long>, "
     "words binary, lanes array<int>"
@@ -219,7 +233,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def unpacked(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = decode(np.frombuffer(row["words"], "<u8")).astype("<u4")
+                ids = decode(np.frombuffer(row["words"], "<u8"), np.array(row["lanes"])).astype("<u4")
                 cuts = np.cumsum([0, *row["lengths"]])
                 begin = base[row["part"]] + row["first"] + cuts[:-1]
                 docs = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]

@@ -21,6 +21,10 @@ def test_round_trip(top):
         ids[rng.random(n) < 0.4] = 0
         words, lanes = simple8b.encode(ids)
         assert np.array_equal(simple8b.decode(words), ids)
+        assert np.array_equal(simple8b.decode(words, lanes), ids)
+        if n:
+            k = int(rng.integers(len(lanes)))
+            assert np.array_equal(simple8b.lane(words, lanes, k), ids[k * simple8b.LANE : (k + 1) * simple8b.LANE])
         for k, at in enumerate(lanes):
             end = lanes[k + 1] if k + 1 < len(lanes) else len(words)
             lane = ids[k * simple8b.LANE : (k + 1) * simple8b.LANE]
@@ -51,3 +55,29 @@ def test_files(spark, monkeypatch):
     empty = scratch(spark, "ids")
     simple8b.write_ids(spark.createDataFrame([], SCHEMA), empty, PATH)
     assert simple8b.read_ids(spark, empty).count() == 0
+
+
+def test_long_text_through_the_files(spark, monkeypatch):
+    monkeypatch.setattr(simple8b, "BLOCK_IDS", 4_096)
+    rng = np.random.default_rng(3)
+    long = " ".join("".join(rng.choice(list("abcdeé"), 6)) for _ in range(bpe.TASK_CHARS // 5))
+    assert len(long) > bpe.TASK_CHARS
+    rows = [(1, "before", "", ""), (2, long, "", ""), (3, "after", "", "")]
+    path = scratch(spark, "ids")
+    simple8b.write_ids(spark.createDataFrame(rows, SCHEMA), path, PATH)
+    got = sorted(simple8b.checksums(simple8b.read_ids(spark, path)).collect(), key=lambda r: r.doc_id)
+    plain = bpe.Encoder(PATH).plain
+    ids = [[*plain([t])[0], 0] for _, t, *_ in rows]
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), simple8b.crc(x)) for x in ids]
+    assert [r.start for r in got] == [0, len(ids[0]), len(ids[0]) + len(ids[1])]
+
+
+def test_words_are_remembered_in_two_generations(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_UNITS", 8)
+    coder = bpe.Encoder(PATH)
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefg"), 4)) for _ in range(40)]
+    text = "start " + " ".join(w + e for w in words for e in ("", ".", ",", "") for _ in range(2)) + "  two spaces"
+    for one in (text, text.replace("  ", " ")):
+        assert bpe.numbers(coder.encode([one])[0]) == coder.plain([one])[0]
+    assert max(len(coder.words), len(coder.words.older), len(coder.pieces)) <= 4
