@@ -96,3 +96,19 @@ def test_run_over_a_laid_out_table(spark, inputs, sf, tmp_path):
     one, two = (spark.read.parquet(str(tmp_path / f"tl{n}")) for n in (0, 1))
     assert one.count() and one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
     assert layout.is_colocated(spark, "laid_accounts") and not layout.is_colocated(spark, str(tmp_path / "tradeline"))
+
+
+def test_buckets_grow_with_the_table(spark, sf, monkeypatch):
+    """One task reads a bucket, so a larger table has more of them; narrow rows are shuffled alone."""
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 100)
+    accounts = derived.tradeline(spark, sf)
+    layout.write_colocated(derived.narrow_tradeline(spark, sf), "grown_accounts", 4, derived.widened)
+    try:
+        about = {r.col_name: r.data_type for r in spark.sql("DESCRIBE FORMATTED grown_accounts").collect()}
+        assert int(about["Num Buckets"]) == -(-accounts.count() // 100) > 4
+        both = spark.table("grown_accounts").unionByName(spark.table("grown_accounts_heavy"))
+        both = both.select(accounts.columns)
+        assert both.exceptAll(accounts).isEmpty() and accounts.exceptAll(both).isEmpty()
+    finally:
+        for name in ("grown_accounts", "grown_accounts_heavy"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
