@@ -170,3 +170,27 @@ def test_common_prefixes_and_their_intervals():
                 where.setdefault(tuple(block[k : k + 3]), set()).add(i)
     assert {kinds.pop(): on[g] for g, kinds in found.items()} == {k: len(v) for k, v in where.items()}
     assert short == {(): {2}}
+
+
+@pytest.mark.parametrize("chunk", [512, 4])
+def test_marked_pages_are_in_the_suffix_array(spark, monkeypatch, chunk):
+    monkeypatch.setattr(extract, "CHUNK_PAGES", chunk)
+    rng = random.Random(6)
+    menu, notice, quote = words(rng, 9), words(rng, 12), words(rng, 12)
+    own = {i: words(rng, 30) for i in range(24)}
+    rows = []
+    for i in range(24):
+        if i < 12:  # half of the pages have the notice in their article; a quote is on some
+            block = f"<p>{own[i]}</p><p>{notice}</p><p>by me</p>" + f"<p>{quote}</p>" * (i < 5)
+            page = f"<div>{menu} {words(rng, 2)}</div><article>{block}</article>"
+            own[i] += f" {quote}" * (i < 5)
+        elif i < 14:  # pages without an article: their menu stands beside the articles too
+            page = f"<div>{menu}</div><div>{own[i]}</div>"
+        else:
+            page = f"<article><p>{own[i]}</p></article>"
+        rows.append((i, f"http://h.example/{i}", page))
+    rows += [(50 + i, f"http://few.example/{i}", f"<article><p>{words(rng, 20)}</p><p>{notice}</p></article>") for i in range(6)]
+    rows += rows[:2]
+    got = extract.extract(spark.createDataFrame([(*r, "t", "h", "r") for r in rows], SCHEMA)).collect()
+    assert len(got) == len(rows) and {r.page_id: r.text for r in got if r.page_id < 50} == own
+    assert all(notice in r.text for r in got if r.page_id >= 50)
