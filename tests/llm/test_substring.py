@@ -279,3 +279,23 @@ def test_shuffle_files_go_with_the_write(spark, tmp_path):
             break
         time.sleep(0.1)
     assert bytes_left() <= before and spark.read.parquet(str(tmp_path / "out")).count() == 3000
+
+
+def test_every_run_of_two_documents_is_among_the_seeds(spark):
+    """What `runs_of` leaves out has a seed that one row alone has, so no other row has the run."""
+    rng = random.Random(12)
+    passage = words(rng, 160)
+    texts = [words(rng, 30) + passage[i : i + n] + words(rng, 30) for i, n in ((0, 90), (40, 120), (10, 55), (100, 50), (0, 160))]
+    texts[3][40] = "changed"
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    width, owners = substring.MIN_WORDS, {}
+    for i, t in enumerate(texts):
+        for at in range(len(t) - width + 1):
+            owners.setdefault(tuple(t[at : at + width]), set()).add((i, at))
+    want = {place for own in owners.values() if len({i for i, _ in own}) > 1 for place in own}
+    found = {(r.key, r.doc, r.pos) for r in substring.seed_table(docs(spark, rows)).collect()}
+    for i, t in rows:
+        keys, starts = substring.runs_of(substring.kmers_of(t), np.zeros(0, np.int64))
+        named = dict(zip(starts.tolist(), keys.view(np.int64).tolist(), strict=True))
+        assert all((named[at], i, at) in found for d, at in want if d == i)
+    assert len(want) > 200
